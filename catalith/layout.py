@@ -64,17 +64,18 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 def dictionary_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-    rows: int = BROADCAST_ROWS, salts: int = SALTS,
+    rows: int = BROADCAST_ROWS, salts: int = SALTS, fits: bool | None = None,
 ) -> DataFrame:
     """Join ``big`` to the dictionary ``small`` on the columns ``on``.
 
     Up to ``rows`` rows the dictionary is broadcast.  Beyond that each
     dictionary row is repeated ``salts`` times and the big side spreads its rows
     over the salts, so a key holding a third of ``big`` becomes ``salts`` groups.
-    ``how`` may be inner, left, left_semi or left_anti.
+    ``how`` may be inner, left, left_semi or left_anti.  ``fits`` passes the
+    result of an earlier size check of the same dictionary.
     """
     on = list(on)
-    if fits_broadcast(small, rows):
+    if fits_broadcast(small, rows) if fits is None else fits:
         return big.join(F.broadcast(small), on, how)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith.functions import text as tx
-from catalith.layout import dense_row_number, dictionary_join
+from catalith.layout import dense_row_number, dictionary_join, fits_broadcast
 from catalith.sources.definitions import json_value
 
 # Item kinds in scan order, control roles and envelope names.
@@ -162,10 +162,11 @@ def match_items(items: DataFrame, aliases: DataFrame, rules: Sequence[ScopeRule]
     the items themselves are neither exploded nor shuffled.
     """
     book = aliases.groupBy("alias").agg(F.array_sort(F.collect_set(F.struct("concept_id", "kind"))).alias("_hits"))
+    fits = fits_broadcast(book)
     out = items
     for column, key in (("label", F.trim("label")), ("name_en", F.trim("name_en")), ("unit", F.col("unit"))):
         out = dictionary_join(out.withColumn("alias", key), book.withColumnRenamed("_hits", f"_{column}"),
-                              ["alias"], "left").drop("alias")
+                              ["alias"], "left", fits=fits).drop("alias")
     empty = F.array().cast("array<struct<concept_id:string,kind:string>>")
     named = F.concat(F.coalesce("_label", empty), F.coalesce("_name_en", empty))
     kept = F.filter(named, lambda h: (h["kind"] != "Unit") & ((F.col("kind") == "catalog_label") | (h["kind"] != "Topic")))
