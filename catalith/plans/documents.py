@@ -14,7 +14,7 @@ from catalith.functions import text as tx
 from catalith.operators import coverage as cv
 from catalith.operators import schema_docs as sd
 from catalith.plans.registry import Tables, query
-from catalith.plans.web import _clean
+from catalith.plans.web import _clean, _decode
 from catalith.sources import definitions as df_
 from catalith.sources.definitions import documents_from_text, json_value
 
@@ -207,14 +207,14 @@ def definition_fields(t: Tables):
     return df_.definition_fields(_definition_docs(t)).select("path", "ordinal", "name", "name_en", "unit", "description", "evidence_id")
 
 
-@query("q94_attach_definitions", """SELECT count(*) AS attached, CAST(sum(CASE WHEN p_size > 25 THEN 2 ELSE 0 END) AS BIGINT) AS expected,
-  count(*) FILTER (p_size <= 25) AS unmatched FROM part""".replace("count(*) AS attached", "CAST(sum(CASE WHEN p_size > 25 THEN 2 ELSE 0 END) AS BIGINT) AS attached"))
+@query("q94_attach_definitions", """SELECT CAST(sum(CASE WHEN p_size > 25 THEN 2 ELSE 0 END) AS BIGINT) AS attached,
+  count(*) FILTER (p_size <= 25) AS unmatched FROM part""")
 def attach_definitions(t: Tables):
     fields = df_.definition_fields(_definition_docs(t))
     rec = t.part.filter("p_size > 25").select(F.concat(F.lit("r"), F.col("p_partkey").cast("string")).alias("id"),
                                               F.col("p_brand").alias("portal_id"), F.col("p_partkey").cast("string").alias("dataset_key"),
                                               F.col("p_type").alias("kind"))
-    a = df_.attach_definitions(fields, rec).agg(F.count(F.lit(1)).alias("attached"), F.count(F.lit(1)).alias("expected"))
+    a = df_.attach_definitions(fields, rec).agg(F.count(F.lit(1)).alias("attached"))
     u = df_.unmatched_documents(fields, rec).agg(F.count(F.lit(1)).alias("unmatched"))
     return a.withColumn("k", F.lit(1)).join(u.withColumn("k", F.lit(1)), "k").drop("k")
 
@@ -254,10 +254,13 @@ def metadata_flags(t: Tables):
     return d.select("doc_id", F.array_join(f, ",").alias("flags"))
 
 
-@query("q81_normalize_metadata", f"""SELECT conv_id, turn, {_clean("regexp_replace(nfc_normalize(text), '[[:cntrl:]]', ' ', 'g')")} AS title_norm, role || '|x' AS keywords FROM conversations
-  WHERE NOT contains(text, '<') AND NOT contains(text, '&')""")
+_TAGLESS = _decode("regexp_replace(nfc_normalize(text), '(?s)<[!/?a-zA-Z][^>]*>', ' ', 'g')")
+
+
+@query("q81_normalize_metadata", f"""SELECT conv_id, turn, {_clean(f"regexp_replace({_TAGLESS}, '[[:cntrl:]]', ' ', 'g')")} AS title_norm,
+  role || '|x' AS keywords FROM conversations""")
 def normalize_metadata(t: Tables):
-    c = t.conversations.filter(~F.contains("text", F.lit("<")) & ~F.contains("text", F.lit("&")))
+    c = t.conversations
     c = c.withColumn("kw", _cat(F.col("role"), " , ,x"))
     n = md.normalize_metadata(c, "text", "role", "kw")
     return n.select("conv_id", "turn", "title_norm", F.array_join("keyword_list", "|").alias("keywords"))

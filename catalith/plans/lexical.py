@@ -220,9 +220,9 @@ def normalize_catalog(t: Tables):
 
 
 @query("q61_item_detail", f"""WITH {_KEYED} SELECT k.id, k.label, r.p_name AS title, c.concept_ids, k.evidence_id
-  FROM keyed k JOIN rec r USING (record_id) LEFT JOIN concepts c USING (iid) WHERE k.kind = 'declared_output' AND k.portal_id = 'Brand#4'""")
+  FROM keyed k JOIN rec r USING (record_id) LEFT JOIN concepts c USING (iid) WHERE k.kind = 'declared_output'""")
 def item_detail(t: Tables):
-    mine = _keyed(t).filter("kind = 'declared_output' and portal_id = 'Brand#4'")
+    mine = _keyed(t).filter("kind = 'declared_output'")
     rec = m.records(t).select(F.col("id").alias("record_id"), "title")
     out = mine.join(rec, "record_id", "left")
     return out.select("id", "label", "title", F.nullif(F.array_join("concept_ids", ","), F.lit("")).alias("concept_ids"), "evidence_id")
