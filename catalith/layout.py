@@ -57,6 +57,16 @@ def dense_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one split per core before heavy per-row work.
+
+    A table of many files already has far more splits than cores and is returned
+    untouched; only a table of a few files is dealt out, which moves little.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``rows`` rows; reads no further than that."""
     return df.limit(rows + 1).count() <= rows

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalith.durable import materialize
 from catalith.functions import text as tx
 from catalith.layout import dense_row_number, dictionary_join, fits_broadcast
 from catalith.sources.definitions import json_value
@@ -159,29 +160,42 @@ def match_items(items: DataFrame, aliases: DataFrame, rules: Sequence[ScopeRule]
     Catalogue labels may hit topics, fields and tokens may not; units match only
     the unit text of a formal field.  Control fields match nothing.  The alias
     table is joined once per text column as a dictionary (alias -> concepts), so
-    the items themselves are neither exploded nor shuffled.
+    the items themselves are neither exploded nor shuffled, and the per-item work
+    is plain array concatenation inside generated code.
     """
-    book = aliases.groupBy("alias").agg(F.array_sort(F.collect_set(F.struct("concept_id", "kind"))).alias("_hits"))
+    def ids(keep: Column) -> Column:
+        return F.array_compact(F.collect_set(F.when(keep, F.col("concept_id"))))
+
+    unit = F.col("kind") == "Unit"
+    # Written once: its size is checked and it is read by three joins.
+    book = materialize(aliases.groupBy("alias").agg(
+        ids(~unit).alias("_any"), ids(~unit & (F.col("kind") != "Topic")).alias("_narrow"), ids(unit).alias("_unit")),
+        "aliases")
+    names, units = book.filter(F.size("_any") > 0).drop("_unit"), book.filter(F.size("_unit") > 0).select("alias", "_unit")
     fits = fits_broadcast(book)
     out = items
-    for column, key in (("label", F.trim("label")), ("name_en", F.trim("name_en")), ("unit", F.col("unit"))):
-        out = dictionary_join(out.withColumn("alias", key), book.withColumnRenamed("_hits", f"_{column}"),
-                              ["alias"], "left", fits=fits).drop("alias")
-    empty = F.array().cast("array<struct<concept_id:string,kind:string>>")
-    named = F.concat(F.coalesce("_label", empty), F.coalesce("_name_en", empty))
-    kept = F.filter(named, lambda h: (h["kind"] != "Unit") & ((F.col("kind") == "catalog_label") | (h["kind"] != "Topic")))
-    units = F.filter(F.coalesce("_unit", empty), lambda h: (h["kind"] == "Unit") & (F.col("kind") == "documented_field"))
-    ids = F.transform(F.concat(kept, units), lambda h: h["concept_id"])
+    for column in ("label", "name_en"):
+        side = names.select("alias", F.col("_any").alias(f"_{column}_any"), F.col("_narrow").alias(f"_{column}_narrow"))
+        out = dictionary_join(out.withColumn("alias", F.trim(column)), side, ["alias"], "left", fits=fits).drop("alias")
+    out = dictionary_join(out.withColumn("alias", F.col("unit")), units, ["alias"], "left", fits=fits).drop("alias")
+    none = F.array().cast("array<string>")
+    is_label, is_field = F.col("kind") == "catalog_label", F.col("kind") == "documented_field"
+
+    def hits(column: str) -> Column:
+        return F.coalesce(F.when(is_label, F.col(f"_{column}_any")).otherwise(F.col(f"_{column}_narrow")), none)
+
+    found = F.concat(hits("label"), hits("name_en"), F.coalesce(F.when(is_field, F.col("_unit")), none))
     for r in rules:
         hit = F.coalesce(F.col(r.field) == r.value, F.lit(False))
         if r.action == "exclude":
             drop = hit & ~F.coalesce(F.col("portal_id") == r.portal, F.lit(False))
-            ids = F.when(drop, F.array_remove(ids, r.concept_id)).otherwise(ids)
+            found = F.when(drop, F.array_remove(found, r.concept_id)).otherwise(found)
         else:
-            add = hit & (F.col("portal_id") == r.portal) & (F.col("kind") == "documented_field")
-            ids = F.when(add, F.array_append(ids, F.lit(r.concept_id))).otherwise(ids)
-    ids = F.when(F.col("is_control"), F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(ids)))
-    return out.withColumn("concept_ids", ids).drop("_label", "_name_en", "_unit")
+            add = hit & (F.col("portal_id") == r.portal) & is_field
+            found = F.when(add, F.array_append(found, F.lit(r.concept_id))).otherwise(found)
+    found = F.when(F.col("is_control"), none).otherwise(F.sort_array(F.array_distinct(found)))
+    return out.withColumn("concept_ids", found).drop(
+        "_label_any", "_label_narrow", "_name_en_any", "_name_en_narrow", "_unit")
 
 
 def mappings(matched: DataFrame, key: str = "id") -> DataFrame:

@@ -20,7 +20,7 @@ from catalith.sources.definitions import documents_from_text, json_value
 
 
 def _words(t: Tables):
-    return t.part.withColumn("w0", F.split("p_name", " ")[0]).withColumn("w1", F.split("p_name", " ")[1])
+    return t.spread("part").withColumn("w0", F.split("p_name", " ")[0]).withColumn("w1", F.split("p_name", " ")[1])
 
 
 _PART = "part AS (SELECT *, split_part(p_name, ' ', 1) AS w0, split_part(p_name, ' ', 2) AS w1 FROM main.part)"
@@ -102,7 +102,7 @@ def _stat_docs(t: Tables):
                                     itmList=F.when(F.col("c_acctbal") > 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))),
             itemInfo=s(itmCnt=F.lit(1), itmList=F.array(s(scrKor=F.col("c_name"), itmId=F.lit("m1"), unitNm=F.lit("원")))),
             periodStr=F.lit("M#Q#"), periodInfo=s(periodNm=F.lit("기간"), codeM=F.lit("M"), nameM=F.lit("월"), startM=key, endM=key))
-    return documents_from_text(t.customer.select(key.alias("p"), F.to_json(doc).alias("j")), "p", "j")
+    return documents_from_text(t.spread("customer").select(key.alias("p"), F.to_json(doc).alias("j")), "p", "j")
 
 
 @query("q72_stat_table_fields", """SELECT CAST(c_custkey AS VARCHAR) AS path, u.role AS role, u.name AS name, u.code AS code, u.unit AS unit, u.ok AS complete
@@ -140,7 +140,7 @@ def _api_docs(t: Tables):
                '{"application/json":{"schema":{"$ref":"#/components/schemas/Root"}}}}}}}},"components":{"schemas":{"Root":',
                '{"properties":{"n', key, '":{"type":"integer"},"rows":{"type":"array","items":{"$ref":"#/components/schemas/Row"}}}},',
                '"Row":{"properties":{"id":{"type":"string"},"up":{"$ref":"#/components/schemas/Root"}}}}}}')
-    return documents_from_text(t.supplier.select(key.alias("p"), doc.alias("j")), "p", "j")
+    return documents_from_text(t.spread("supplier").select(key.alias("p"), doc.alias("j")), "p", "j")
 
 
 @query("q50_openapi_fields", """SELECT CAST(s_suppkey AS VARCHAR) AS path, 'openapi:GET:/s/' || s_suppkey AS operation, 'n' || s_suppkey AS schema_path,
@@ -183,7 +183,7 @@ def preview_status(t: Tables):
 def axis_items(t: Tables):
     doc = _cat('{"dataset":[{"id":"ds_rowItem","rows":[{"ROW_CD":"', F.col("o_orderstatus"), '","ROW_NM":"', F.col("o_orderpriority"),
                '"},{"ROW_CD":"","ROW_NM":"x"}]},{"id":"ds_colItem","rows":[{"DB_COL_NM":"COL","COL_NM":"col"}]}]}')
-    docs = documents_from_text(t.orders.select(F.col("o_orderkey").cast("string").alias("p"), doc.alias("j")), "p", "j")
+    docs = documents_from_text(t.spread("orders").select(F.col("o_orderkey").cast("string").alias("p"), doc.alias("j")), "p", "j")
     return sd.axis_items(docs)[0].select("path", "code", "name", "role")
 
 
@@ -243,7 +243,7 @@ def text_functions(t: Tables):
 
 @query("q95_clean_text", f"""SELECT doc_id, sha256({_clean("text")}) AS digest FROM documents""")
 def clean_text(t: Tables):
-    return t.documents.select("doc_id", F.sha2(tx.clean_text("text"), 256).alias("digest"))
+    return t.spread("documents").select("doc_id", F.sha2(tx.clean_text("text"), 256).alias("digest"))
 
 
 @query("q80_metadata_flags", """SELECT doc_id, concat_ws(',', CASE WHEN n_chars < 500 THEN 'missing_description' END, 'missing_keywords',
@@ -260,7 +260,7 @@ _TAGLESS = _decode("regexp_replace(nfc_normalize(text), '(?s)<[!/?a-zA-Z][^>]*>'
 @query("q81_normalize_metadata", f"""SELECT conv_id, turn, {_clean(f"regexp_replace({_TAGLESS}, '[[:cntrl:]]', ' ', 'g')")} AS title_norm,
   role || '|x' AS keywords FROM conversations""")
 def normalize_metadata(t: Tables):
-    c = t.conversations
+    c = t.spread("conversations")
     c = c.withColumn("kw", _cat(F.col("role"), " , ,x"))
     n = md.normalize_metadata(c, "text", "role", "kw")
     return n.select("conv_id", "turn", "title_norm", F.array_join("keyword_list", "|").alias("keywords"))

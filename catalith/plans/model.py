@@ -21,7 +21,7 @@ RULES = (lx.ScopeRule("exclude", "Brand#1", "label", "small", "dimension:small")
 def records(t: Tables) -> DataFrame:
     key = F.col("p_partkey").cast("string")
     words = F.replace("p_name", F.lit(" "), F.lit(","))
-    raw = t.part.select(
+    raw = t.spread("part").select(
         "*", F.lit("catalog > ").alias("_root"), words.alias("keywords"),
         F.concat(F.lit("catalog > "), "p_type", F.lit(" > "), "p_name").alias("path"),
         F.struct(F.col("p_type").alias("topCateNm"), F.split("p_name", " ")[0].alias("kwrd_one")).alias("nested"))
@@ -38,7 +38,7 @@ def records(t: Tables) -> DataFrame:
 
 
 def documented(t: Tables) -> DataFrame:
-    return t.lineitem.select(
+    return t.spread("lineitem").select(
         F.concat(F.lit("part-"), F.col("l_partkey").cast("string")).alias("record_id"),
         F.concat(F.lit("order-"), F.col("l_orderkey").cast("string")).alias("evidence_id"),
         F.col("l_linenumber").alias("ordinal"), F.col("l_returnflag").alias("name"),

@@ -12,12 +12,12 @@ from catalith.plans.registry import Tables, query
 
 
 def _corpus(t: Tables):
-    return t.embeddings.select(F.col("vec_id").alias("id"), F.lit("m1").alias("model"), F.col("embedding").alias("vec"))
+    return t.spread("embeddings").select(F.col("vec_id").alias("id"), F.lit("m1").alias("model"), F.col("embedding").alias("vec"))
 
 
 def _centroids(t: Tables):
     """Mean vector of each label: the concept side of the ranking."""
-    parts = t.embeddings.select("label", F.posexplode("embedding").alias("i", "v"))
+    parts = t.spread("embeddings").select("label", F.posexplode("embedding").alias("i", "v"))
     mean = parts.groupBy("label", "i").agg(F.avg(F.col("v").cast("double")).alias("v"))
     vec = F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"])
     return mean.groupBy("label").agg(vec.alias("vec")).select(F.col("label").alias("query_id"), F.lit("m1").alias("model"), "vec")
@@ -38,7 +38,7 @@ def _concept_scores(t: Tables):
     """Cosine of every dataset with every concept vector, read off a bounded concept list."""
     cen = _centroids(t)
     book = cen.agg(F.collect_list(F.struct("query_id", "vec")).alias("book"))
-    rows = t.embeddings.withColumn("k", F.lit(1)).join(F.broadcast(book.withColumn("k", F.lit(1))), "k")
+    rows = t.spread("embeddings").withColumn("k", F.lit(1)).join(F.broadcast(book.withColumn("k", F.lit(1))), "k")
     each = F.transform("book", lambda c: F.struct(c["query_id"].alias("concept_id"), rt.cosine(c["vec"], F.col("embedding")).alias("score")))
     return rows.select(F.col("vec_id").alias("dataset_id"), F.inline(each))
 
@@ -140,7 +140,7 @@ def micro_macro_f1(t: Tables):
 
 @query("q114_changed_inputs", """SELECT doc_id FROM documents WHERE n_chars < 500 OR lang = 'fr'""")
 def changed_inputs(t: Tables):
-    d = t.documents.withColumn("input_hash", fingerprint(text=F.col("text"), lang=F.col("lang")))
+    d = t.spread("documents").withColumn("input_hash", fingerprint(text=F.col("text"), lang=F.col("lang")))
     old = t.documents.filter("n_chars >= 500").withColumn("input_hash", fingerprint(
         text=F.col("text"), lang=F.when(F.col("lang") != "fr", F.col("lang"))))
     return rt.changed_inputs(d, old, ["doc_id"], "input_hash").select("doc_id")
@@ -203,12 +203,12 @@ _FAM = """sha256(lower(trim(regexp_replace(text, '[\\s\\p{Z}\\x{0b}\\x{1c}-\\x{1
 @query("q119_family_split", f"""SELECT doc_id, f AS family, CASE WHEN b < 80 THEN 'train' WHEN b < 90 THEN 'dev' ELSE 'test' END AS split
   FROM (SELECT doc_id, f, CAST('0x' || substr(f, 1, 8) AS BIGINT) % 100 AS b FROM (SELECT doc_id, {_FAM} AS f FROM documents))""")
 def family_split(t: Tables):
-    return ev.family_split(t.documents, "text").select("doc_id", "family", "split")
+    return ev.family_split(t.spread("documents"), "text").select("doc_id", "family", "split")
 
 
 @query("q27_hash_groups", f"""SELECT {_FAM} AS family, count(*) AS copies, min(doc_id) AS first_doc FROM documents GROUP BY 1 HAVING count(*) > 1""")
 def hash_groups(t: Tables):
-    g = ev.family_split(t.documents, "text").groupBy("family").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_doc"))
+    g = ev.family_split(t.spread("documents"), "text").groupBy("family").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_doc"))
     return g.filter("copies > 1")
 
 

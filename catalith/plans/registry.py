@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from catalith.layout import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -20,6 +22,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """The table with a split per core, for queries with heavy per-row work."""
+        return spread(getattr(self, name))
+
 
 def query(name: str, sql: str | None = None) -> Callable:
     """Register ``fn(tables) -> DataFrame`` under ``name`` with its SQL."""

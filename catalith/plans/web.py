@@ -40,7 +40,7 @@ LINKS = f"""link AS (SELECT page_id, url AS page_url, CAST(i AS INTEGER) AS posi
 
 
 def links(t: Tables):
-    return t.pages.select("page_id", F.col("url").alias("page_url"), F.inline(ht.links("html", "url")))
+    return t.spread("pages").select("page_id", F.col("url").alias("page_url"), F.inline(ht.links("html", "url")))
 
 
 @query("q17_uid", """SELECT page_id, 'page-' || substr(sha256(concat_ws(chr(31), CAST(page_id AS VARCHAR), url, 'None')), 1, 20) AS uid,
@@ -79,7 +79,7 @@ def html_links(t: Tables):
 
 @query("q21_html_title", f"""SELECT page_id, {_clean(_decode("regexp_extract(html, '<title>(.*?)</title>', 1)"))} AS title FROM pages""")
 def html_title(t: Tables):
-    return t.pages.select("page_id", ht.html_title("html").alias("title"))
+    return t.spread("pages").select("page_id", ht.html_title("html").alias("title"))
 
 
 _TEXT = _clean(_decode(f"regexp_replace({_VISIBLE}, '(?s)<[!/?a-zA-Z][^>]*>', ' ', 'g')"))
@@ -87,7 +87,7 @@ _TEXT = _clean(_decode(f"regexp_replace({_VISIBLE}, '(?s)<[!/?a-zA-Z][^>]*>', '
 
 @query("q64_html_text", f"""SELECT page_id, CAST(length({_TEXT}) AS INTEGER) AS chars, sha256({_TEXT}) AS digest FROM pages""")
 def html_text(t: Tables):
-    p = t.pages.select("page_id", ht.html_text("html").alias("x"))
+    p = t.spread("pages").select("page_id", ht.html_text("html").alias("x"))
     return p.select("page_id", F.length("x").alias("chars"), F.sha2("x", 256).alias("digest"))
 
 
@@ -173,7 +173,7 @@ _TITLE = _clean(_decode("regexp_extract(html, '<title>(.*?)</title>', 1)"))
   SELECT page_id, status, CASE WHEN status <> 'body_observed' THEN 'recheck_official_guide_and_current_route'
     ELSE 'find_access_route_of_list_or_api_docs' END AS next_action FROM o""")
 def observation_status(t: Tables):
-    p = t.pages.select("page_id", rg.observation_status(
+    p = t.spread("pages").select("page_id", rg.observation_status(
         F.lit("page_observed"), ht.html_title("html"), F.col("url"), ht.html_text("html")).alias("status"))
     return p.withColumn("next_action", rg.next_action(F.lit(False), F.col("status"), F.lit(0)))
 
@@ -183,7 +183,7 @@ def observation_status(t: Tables):
   SELECT 'status' AS facet, status AS value, count(*) AS services FROM o GROUP BY 2
   UNION ALL SELECT 'lang', lang, count(*) FROM o GROUP BY 2""")
 def registry_summary(t: Tables):
-    p = t.pages.select(F.regexp_extract("url", "/(en|de|fr|es)/", 1).alias("lang"), rg.observation_status(
+    p = t.spread("pages").select(F.regexp_extract("url", "/(en|de|fr|es)/", 1).alias("lang"), rg.observation_status(
         F.lit("page_observed"), ht.html_title("html"), F.col("url"), ht.html_text("html")).alias("status"))
     return rg.registry_summary(p, ("status", "lang"))
 
