@@ -212,17 +212,29 @@ def first_record_header(content: Column | str, limit: int = 65536) -> Column:
     cut = F.substring(raw, 1, limit + 1)
     # Byte-for-byte view: quotes and line ends never occur inside a CP949 or
     # UTF-8 multi-byte character, so the record's end is found without decoding.
-    record = F.regexp_extract(
-        F.decode(cut, "ISO-8859-1"), '^((?:[^"\\r\\n]++|"(?:[^"]++|"")*+")*+)(?:\\r?\\n|$)', 1)
-    first = raw.substr(F.lit(1), F.length(record))
+    # Text between quotes alternates outside/inside; the record ends at the first
+    # line end that stands outside.
+    view = F.decode(cut, "ISO-8859-1")
+    none = F.struct(F.lit(0).alias("size"), F.lit(0).alias("place"), F.lit(False).alias("done"))
+    walk = F.aggregate(F.split(view, '"'), none, lambda s, p: F.when(s["done"], s).when(
+        (s["place"] % 2 == 0) & p.rlike("[\\r\\n]"), F.struct(
+            (s["size"] + F.length(F.regexp_extract(p, "^[^\\r\\n]*", 0))).alias("size"), s["place"].alias("place"),
+            F.lit(True).alias("done"))).otherwise(F.struct(
+                (s["size"] + F.length(p) + 1).alias("size"), (s["place"] + 1).alias("place"), F.lit(False).alias("done"))))
+    size = F.when(walk["done"], walk["size"]).otherwise(walk["size"] - 1)
+    first = raw.substr(F.lit(1), size)
     utf16 = F.hex(F.substring(raw, 1, 2)).isin("FFFE", "FEFF")
     too_long = F.octet_length(first) > limit
     is_utf8 = F.is_valid_utf8(first.cast("string"))
-    text = F.when(is_utf8, first.cast("string")).otherwise(F.decode(first, "MS949"))
+    # Two-byte characters removed, a CP949 text is plain ASCII; anything else is
+    # not decoded at all, because decoding malformed bytes is an error.
+    pairs = F.regexp_replace(view.substr(F.lit(1), size), "[\\x81-\\xfe][\\x41-\\x5a\\x61-\\x7a\\x81-\\xfe]", "")
+    is_cp949 = ~pairs.rlike("[\\x80-\\xff]")
+    text = F.when(is_utf8, first.cast("string")).when(is_cp949, F.decode(first, "MS949"))
     text = F.regexp_replace(F.regexp_replace(text, "^\\x{FEFF}", ""), "[\\r\\n]+$", "")
     markup = F.lower(text).rlike("<html|<!doctype")
     cells = csv_cell(text)
-    ok = ~utf16 & ~too_long & ~markup & (F.size(cells) > 0) & ~F.contains(text, F.lit("�"))
+    ok = F.coalesce(~utf16 & ~too_long & ~markup & (F.size(cells) > 0) & ~F.contains(text, F.lit("�")), F.lit(False))
     return F.struct(
         F.when(ok, F.when(is_utf8, F.lit("utf-8-sig")).otherwise(F.lit("cp949"))).alias("encoding"),
         F.when(ok, cells).alias("header"),
