@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_WRITTEN: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -34,9 +35,20 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process wrote; their readers end here."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        done += bool(path.getFileSystem(conf).delete(path, True))
+    return done
+
+
 def materialize(df: DataFrame, tag: str = "t") -> DataFrame:
     """Write ``df`` once and return a reader over the written files."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)

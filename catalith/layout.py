@@ -88,8 +88,11 @@ def dictionary_join(
     if fits_broadcast(small, rows) if fits is None else fits:
         return big.join(F.broadcast(small), on, how)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
-    return spread.join(salted, [*on, "_salt"], how).drop("_salt")
+    # The salt must not change when a lost task runs again, so it is a hash of the
+    # row; maps and variants cannot be hashed and are left out of it.
+    hashable = [c for c, kind in big.dtypes if "map<" not in kind and "variant" not in kind]
+    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
+    return salted_big.join(salted, [*on, "_salt"], how).drop("_salt")
 
 
 def page(df: DataFrame, order: Sequence[str], number: int, size: int) -> DataFrame:

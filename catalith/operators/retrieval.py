@@ -49,6 +49,13 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return np.divide(m, n, out=np.full_like(m, np.nan), where=n > 0)
 
 
+def _above(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, rows: np.ndarray, least: float) -> pd.DataFrame:
+    """Every pair of one block that scores at least ``least``."""
+    score = np.nan_to_num(q @ rows.T, nan=-np.inf)
+    a, b = np.nonzero(score >= least)
+    return pd.DataFrame({"query_id": q_ids[a], "id": ids[b], "score": score[a, b]})
+
+
 def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> pd.DataFrame:
     """The k best rows per query of one block, ties by id."""
     score = q @ rows.T
@@ -69,6 +76,25 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, query_block: int = QUERY_
     out.  Up to ``query_block`` queries travel as one broadcast; more are split
     into blocks that meet blocks of the corpus on the executors.
     """
+    near = _scan(queries, corpus, query_block, lambda *block: _best(*block, k))
+    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 12)), "id")
+    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def concept_scores(datasets: DataFrame, concepts: DataFrame, min_score: float, concept_block: int = QUERY_BLOCK) -> DataFrame:
+    """(dataset_id, concept_id, score) of every pair that reaches ``min_score``.
+
+    ``datasets(dataset_id, model, vec)``, ``concepts(concept_id, model, vec)``.
+    Pairs below the threshold are never written out.
+    """
+    q = concepts.select(F.col("concept_id").alias("query_id"), "model", "vec")
+    c = datasets.select(F.col("dataset_id").alias("id"), "model", "vec")
+    near = _scan(q, c, concept_block, lambda *block: _above(*block, min_score))
+    return near.select(F.col("id").alias("dataset_id"), F.col("query_id").alias("concept_id"), "score")
+
+
+def _scan(queries: DataFrame, corpus: DataFrame, query_block: int, keep) -> DataFrame:
+    """Run ``keep(query ids, query matrix, ids, matrix)`` over every pair of blocks."""
     id_type = corpus.schema["id"].dataType.simpleString()
     q_type = queries.schema["query_id"].dataType.simpleString()
     schema = f"query_id {q_type}, id {id_type}, score double"
@@ -82,16 +108,13 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, query_block: int = QUERY_
                 for model, rows in pdf.groupby("model"):
                     if model in shared.value:
                         q_ids, q = shared.value[model]
-                        yield _best(q_ids, q, rows["id"].to_numpy(), _unit(rows["vec"]), k)
+                        yield keep(q_ids, q, rows["id"].to_numpy(), _unit(rows["vec"]))
 
-        near = corpus.select("id", "model", "vec").mapInPandas(scan, schema)
-    else:
-        near = _blocked(queries, corpus, k, query_block, schema)
-    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 12)), "id")
-    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        return corpus.select("id", "model", "vec").mapInPandas(scan, schema)
+    return _blocked(queries, corpus, query_block, schema, keep)
 
 
-def _blocked(queries: DataFrame, corpus: DataFrame, k: int, query_block: int, schema: str) -> DataFrame:
+def _blocked(queries: DataFrame, corpus: DataFrame, query_block: int, schema: str, keep) -> DataFrame:
     # Blocks of bounded size on both sides; every query block meets every corpus
     # block of its model once, in its own task.
     n_q = max(1, -(-queries.count() // query_block))
@@ -104,7 +127,7 @@ def _blocked(queries: DataFrame, corpus: DataFrame, k: int, query_block: int, sc
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        return _best(left["query_id"].to_numpy(), _unit(left["vec"]), right["id"].to_numpy(), _unit(right["vec"]), k)
+        return keep(left["query_id"].to_numpy(), _unit(left["vec"]), right["id"].to_numpy(), _unit(right["vec"]))
 
     keys = ["model", "qb", "cb"]
     return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(meet, schema)

@@ -30,7 +30,6 @@ def segmented_scan(
     ``order`` must be unique inside a block.
     """
     numbered = dense_row_number(df.withColumn("_e", element), [block, *order], "_idx")
-    numbered = materialize(numbered, "scan")
     rows = numbered.count()
     before = _scan(numbered.select(F.col(block).alias("_b"), "_idx", "_e"), rows, combine, identity, chunk)
     return (numbered.join(before, (numbered[block].eqNullSafe(before["_b"])) & (numbered["_idx"] == before["_i"]))

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalith.functions.text import fingerprint
+from catalith.layout import dictionary_join
 from catalith.operators import evaluation as ev
 from catalith.operators import retrieval as rt
 from catalith.plans.registry import Tables, query
@@ -34,13 +35,17 @@ def knn(t: Tables):
     return rt.knn(_centroids(t), _corpus(t), 10).withColumn("score", F.round("score", 6))
 
 
-def _concept_scores(t: Tables):
-    """Cosine of every dataset with every concept vector, read off a bounded concept list."""
-    cen = _centroids(t)
-    book = cen.agg(F.collect_list(F.struct("query_id", "vec")).alias("book"))
-    rows = t.spread("embeddings").withColumn("k", F.lit(1)).join(F.broadcast(book.withColumn("k", F.lit(1))), "k")
-    each = F.transform("book", lambda c: F.struct(c["query_id"].alias("concept_id"), rt.cosine(c["vec"], F.col("embedding")).alias("score")))
-    return rows.select(F.col("vec_id").alias("dataset_id"), F.inline(each))
+def _concept_scores(t: Tables, least: float):
+    """Datasets and the concept vectors they reach the threshold with."""
+    return rt.concept_scores(_corpus(t).withColumnRenamed("id", "dataset_id"),
+                             _centroids(t).withColumnRenamed("query_id", "concept_id"), least)
+
+
+def _own_scores(t: Tables):
+    """Cosine of every dataset with the vector of its own label."""
+    cen = _centroids(t).select(F.col("query_id").alias("label"), F.col("vec").alias("centre"))
+    rows = dictionary_join(t.spread("embeddings"), cen, ["label"])
+    return rows.select(F.col("vec_id").alias("dataset_id"), F.col("label").alias("concept_id"), rt.cosine("centre", "embedding").alias("score"))
 
 
 @query("q40_concept_candidates", f"""WITH {_CENTROID}, ok AS (SELECT * FROM sc WHERE s >= 0.05 AND NOT EXISTS (SELECT 1 FROM sc o WHERE o.vec_id = sc.vec_id
@@ -51,13 +56,13 @@ def concept_candidates(t: Tables):
     # Odd concepts stand one level under the even concept before them.
     tree = t.embeddings.select(F.col("label").alias("concept_id")).distinct().filter(F.col("concept_id") % 2 == 1).select(
         "concept_id", (F.col("concept_id") - 1).alias("ancestor"))
-    c = rt.concept_candidates(_concept_scores(t), 0.05, 3, tree)
+    c = rt.concept_candidates(_concept_scores(t, 0.05), 0.05, 3, tree)
     return c.select("dataset_id", "concept_id", F.round("score", 6).alias("score"), "rank", F.round("margin", 6).alias("margin"))
 
 
-@query("q171_cosine", f"""WITH {_CENTROID} SELECT q AS concept_id, count(*) AS n, round(sum(s), 5) AS total, round(min(s), 6) AS lo, round(max(s), 6) AS hi FROM sc GROUP BY 1""")
+@query("q171_cosine", f"""WITH {_CENTROID} SELECT q AS concept_id, count(*) AS n, round(sum(s), 5) AS total, round(min(s), 6) AS lo, round(max(s), 6) AS hi FROM sc WHERE q = label GROUP BY 1""")
 def cosine(t: Tables):
-    return _concept_scores(t).groupBy("concept_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("score"), 5).alias("total"),
+    return _own_scores(t).groupBy("concept_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("score"), 5).alias("total"),
                                                         F.round(F.min("score"), 6).alias("lo"), F.round(F.max("score"), 6).alias("hi"))
 
 
@@ -152,10 +157,8 @@ _CHANNELS = f"""{_CENTROID}, a AS (SELECT q, vec_id, s FROM sc WHERE s >= 0.2),
 
 
 def _channels(t: Tables):
-    sc = _concept_scores(t).select(F.col("concept_id").alias("query_id"), F.col("dataset_id").alias("id"), "score")
-    direct = sc.filter("score >= 0.2")
-    own = t.embeddings.select(F.col("vec_id").alias("id"), F.col("label").alias("query_id"))
-    linked = sc.join(own, ["query_id", "id"]).select(F.col("id").alias("dataset_id"), F.col("query_id").alias("concept_id"), "score")
+    direct = _concept_scores(t, 0.2).select(F.col("concept_id").alias("query_id"), F.col("dataset_id").alias("id"), "score")
+    linked = _own_scores(t)
     q = t.embeddings.select(F.col("label").alias("query_id")).distinct().select("query_id", F.col("query_id").alias("concept_id"), F.lit(0.9).alias("score"))
     return rt.merge_channels(metadata=direct, concept=rt.concept_channel(q, linked))
 

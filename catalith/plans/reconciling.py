@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalith.layout import dense_row_number
 from catalith.operators import coverage as cv
 from catalith.operators import joins as jn
 from catalith.operators import reconcile as rc
@@ -325,18 +326,16 @@ def lifecycle(t: Tables):
     return rg.current_only(t.orders.withColumn("lifecycle", st)).select("o_orderkey")
 
 
-@query("q155_heading_scope", """WITH e AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos,
+@query("q155_heading_scope", """WITH e AS (SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos,
     CASE l_returnflag WHEN 'R' THEN 3 WHEN 'A' THEN 4 END AS level, l_linestatus || l_quantity::INT AS label FROM lineitem),
   s AS (SELECT *, last_value(CASE WHEN level = 3 THEN label END IGNORE NULLS) OVER w AS section, last_value(CASE WHEN level = 3 THEN pos END IGNORE NULLS) OVER w AS sp,
     last_value(CASE WHEN level = 4 THEN label END IGNORE NULLS) OVER w AS op, last_value(CASE WHEN level = 4 THEN pos END IGNORE NULLS) OVER w AS opos FROM e
     WINDOW w AS (PARTITION BY l_orderkey ORDER BY pos ROWS UNBOUNDED PRECEDING))
   SELECT l_orderkey, pos, section, CASE WHEN sp IS NULL OR opos > sp THEN op END AS operation FROM s""")
 def heading_scope(t: Tables):
-    from pyspark.sql import Window
-
-    # A line's position on its document; orders have at most a handful of lines.
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    e = t.lineitem.select("l_orderkey", F.row_number().over(w).cast("long").alias("pos"),
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    lines = dense_row_number(t.lineitem.select(*keys, "l_returnflag", "l_linestatus", "l_quantity"), keys, "pos")
+    e = lines.select("l_orderkey", "pos",
                           F.when(F.col("l_returnflag") == "R", F.lit(3)).when(F.col("l_returnflag") == "A", F.lit(4)).alias("level"),
                           F.concat("l_linestatus", F.col("l_quantity").cast("int").cast("string")).alias("label"))
     return sc.heading_scope(e, "l_orderkey", "pos", "level", "label").select("l_orderkey", "pos", "section", "operation")

@@ -57,7 +57,10 @@ def build_institution_queue(gov: DataFrame, local: DataFrame, alio: DataFrame) -
         F.concat(F.lit("gov24-"), "value").alias("id"), F.col("text").alias("name"),
         F.col("group").alias("category"), F.col("value").alias("source_identifier"),
         F.lit("directory-gov24").alias("source"))
-    lo = local.dropDuplicates(["url"]).select(
+    # A site listed twice keeps its first entry (by ``position`` when given).
+    place = [c for c in ("position", "label", "parent_name") if c in local.columns]
+    firsts = local.groupBy("url").agg(F.min(F.struct(*place)).alias("_f")).select("url", "_f.label", "_f.parent_name")
+    lo = firsts.select(
         short_hash("local", "url").alias("id"), F.col("label").alias("name"),
         F.when(F.col("label") == F.col("parent_name"), F.lit("regional_site")).otherwise(
             F.lit("local_site")).alias("category"),
