@@ -214,9 +214,9 @@ def attach_definitions(t: Tables):
     rec = t.part.filter("p_size > 25").select(F.concat(F.lit("r"), F.col("p_partkey").cast("string")).alias("id"),
                                               F.col("p_brand").alias("portal_id"), F.col("p_partkey").cast("string").alias("dataset_key"),
                                               F.col("p_type").alias("kind"))
-    a = df_.attach_definitions(fields, rec).agg(F.count(F.lit(1)).alias("attached"))
-    u = df_.unmatched_documents(fields, rec).agg(F.count(F.lit(1)).alias("unmatched"))
-    return a.withColumn("k", F.lit(1)).join(u.withColumn("k", F.lit(1)), "k").drop("k")
+    a = df_.attach_definitions(fields, rec).select(F.lit(1).alias("hit"))
+    u = df_.unmatched_documents(fields, rec).select(F.lit(0).alias("hit"))
+    return a.unionAll(u).agg(F.count_if(F.col("hit") == 1).alias("attached"), F.count_if(F.col("hit") == 0).alias("unmatched"))
 
 
 @query("q78_json_path", """SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k, count(*) AS n, CAST(count(*) AS BIGINT) AS members FROM events GROUP BY 1""")

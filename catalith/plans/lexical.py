@@ -239,3 +239,32 @@ def tokens(t: Tables):
 def row_numbers(t: Tables):
     return dense_row_number(t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice"),
                             ["o_orderpriority", "o_totalprice", "o_orderkey"]).select("o_orderkey", "row_no")
+
+
+@query("q178_search_terms", f"""WITH {m.ITEMS}{_TERMS} SELECT portal_id, term_role, term, count(*) AS occurrences FROM terms
+  WHERE term_role = 'keyword_token_candidate' AND contains(lower(term), 'ol') GROUP BY ALL ORDER BY occurrences DESC, portal_id, term_role, term LIMIT 80""")
+def search_terms(t: Tables):
+    counts = _terms(t).groupBy("portal_id", "term_role", "term").agg(F.count(F.lit(1)).alias("occurrences"))
+    return lx.top_terms(counts, 80, role="keyword_token_candidate", q="OL")
+
+
+@query("q179_record_detail", f"""WITH {m.DOC} SELECT 'definition' AS part, evidence_id || ':' || ordinal AS entry FROM doc WHERE record_id = 'part-1'
+  UNION ALL SELECT 'token', 'output:1' UNION ALL SELECT 'token', 'output:2' UNION ALL SELECT 'token', 'request:1'
+  UNION ALL SELECT 'record', p_name FROM part WHERE p_partkey = 1 UNION ALL SELECT DISTINCT 'document', evidence_id FROM doc WHERE record_id = 'part-1'""")
+def record_detail(t: Tables):
+    rec, doc = m.records(t), m.documented(t)
+    sources = doc.select("record_id", F.col("evidence_id").alias("path"))
+    one, definitions, tokens, documents = se.record_detail("part-1", rec, doc, ct.declared_fields(rec), sources)
+
+    def part(name, df, entry):
+        return df.select(F.lit(name).alias("part"), entry.alias("entry"))
+
+    return (part("definition", definitions, F.concat_ws(":", "evidence_id", "ordinal")).unionAll(part("token", tokens, F.concat_ws(":", "role", "ordinal")))
+            .unionAll(part("record", one, F.col("title"))).unionAll(part("document", documents, F.col("path"))))
+
+
+@query("q180_join_review_task", """SELECT 'join:1' AS id, 'part-1' AS source_record_id, 'part-2' AS target_record_id, 'joinableUnderConditions' AS proposed_relation, 'same period|same area' AS checks
+  FROM part WHERE p_partkey IN (1, 2) HAVING count(*) = 2""")
+def join_review_task(t: Tables):
+    task = lx.join_review_task("join:1", "part-1", "part-2", ["same period", "same area"], m.records(t))
+    return task.select("id", "source_record_id", "target_record_id", "proposed_relation", F.array_join("required_checks", "|").alias("checks"))

@@ -47,17 +47,20 @@ def documented(t: Tables) -> DataFrame:
 
 
 def vocabulary(t: Tables) -> Vocabulary:
-    def rows(df: DataFrame, kind: str, alias: str, topic=None) -> DataFrame:
-        return df.select(F.lit(kind).alias("kind"), F.lower(alias).alias("slug"), F.col(alias).alias("label"),
-                         (F.lit(None).cast("string") if topic is None else topic).alias("topic"),
-                         F.col(alias).alias("aliases"), F.lit("scope·unit").alias("scope_checks")).distinct()
-
-    words = t.part.select(F.split("p_name", " ")[0].alias("w0"), F.split("p_name", " ")[1].alias("w1"), "p_type")
-    out = (rows(t.part, "Topic", "p_type").unionAll(rows(words, "Dimension", "w0"))
-           .unionAll(rows(words, "EntityType", "w1")).unionAll(rows(t.lineitem, "Measure", "l_returnflag"))
-           .unionAll(rows(t.lineitem, "IdentifierScheme", "l_linestatus"))
-           .unionAll(rows(documented(t).filter("unit is not null"), "Unit", "unit")))
-    return concept_vocabulary(out)
+    """Concepts for the words in use: one pass per table, then a handful of rows."""
+    def pair(kind: str, label) -> object:
+        return F.struct(F.lit(kind).alias("kind"), label.alias("label"))
+
+    words = F.split("p_name", " ")
+    parts = t.part.select("p_type", words[0].alias("w0"), words[1].alias("w1")).distinct().select(F.inline(F.array(
+        pair("Topic", F.col("p_type")), pair("Dimension", F.col("w0")), pair("EntityType", F.col("w1")))))
+    lines = t.lineitem.select("l_returnflag", "l_linestatus", F.when(F.col("l_discount") > 0, F.lit("pct")).alias("unit"))
+    lines = lines.distinct().select(F.inline(F.array(
+        pair("Measure", F.col("l_returnflag")), pair("IdentifierScheme", F.col("l_linestatus")), pair("Unit", F.col("unit")))))
+    rows = parts.unionAll(lines).filter("label is not null").distinct()
+    return concept_vocabulary(rows.select(
+        "kind", F.lower("label").alias("slug"), "label", F.lit(None).cast("string").alias("topic"),
+        F.col("label").alias("aliases"), F.lit("scope·unit").alias("scope_checks")))
 
 
 def items(t: Tables) -> DataFrame:

@@ -389,5 +389,6 @@ def recompute_matches(t: Tables):
     u = it.filter("kind = 'documented_field'").withColumn("alias", F.col("unit")).join(al, "alias").filter("ckind = 'Unit'").select("item", "concept_id")
     inc = it.filter("kind = 'documented_field' and portal_id = 'Brand#2' and name_en = 'O'").select("item", F.lit("measure:open").alias("concept_id"))
     again = a.unionAll(u).unionAll(inc).distinct()
-    diff = rc.table_difference(stored.distinct(), again).agg(F.count(F.lit(1)).alias("differences")).withColumn("k", F.lit(1))
-    return stored.agg(F.count(F.lit(1)).alias("stored")).withColumn("k", F.lit(1)).join(diff, "k").drop("k")
+    diff = rc.table_difference(stored.distinct(), again).agg(F.lit(0).cast("long").alias("stored"), F.count(F.lit(1)).alias("differences"))
+    both = stored.agg(F.count(F.lit(1)).alias("stored"), F.lit(0).cast("long").alias("differences")).unionByName(diff)
+    return both.agg(F.sum("stored").alias("stored"), F.sum("differences").alias("differences"))

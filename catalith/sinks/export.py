@@ -176,8 +176,9 @@ def overview(counts: DataFrame, portals: DataFrame, concepts: DataFrame, edges:
              .unionAll(edges.select("portal_id", "concept_id").distinct().agg(F.count(F.lit(1)).alias("n"))
                        .withColumn("part", F.lit("portal_concept_pairs"))))
     sizes = sizes.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("part", "n")))).alias("sizes"))
-    # All three are one-row aggregates; the key only puts them side by side.
-    one = lambda d: d.withColumn("_k", F.lit(1))
-    j = one(counts.select(F.struct(*counts.columns).alias("counts"))).join(one(kinds), "_k").join(one(sizes), "_k")
+    # Three one-row tables put side by side: stack them and keep the set value.
+    rows = counts.select(F.struct(*counts.columns).alias("counts")).unionByName(kinds, allowMissingColumns=True)
+    rows = rows.unionByName(sizes, allowMissingColumns=True)
+    j = rows.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("counts", "edges_by_kind", "sizes")])
     flags = F.struct(*[F.lit(v).alias(k) for k, v in sorted(rules.items())]) if rules else F.struct(F.lit(True).alias("draft"))
     return j.select(F.to_json(F.struct("counts", "sizes", "edges_by_kind", flags.alias("rules"))).alias("overview"))

@@ -70,10 +70,9 @@ def upsert_view(log: DataFrame, key: Sequence[str], order: Sequence[str]) -> Dat
 
 def history_flags(log: DataFrame, key: Sequence[str], batch: str) -> DataFrame:
     """Per key: first and last batch and whether it is missing from the newest listing."""
-    newest = log.agg(F.max(batch).alias("_newest")).withColumn("_k", F.lit(1))
+    newest = log.agg(F.max(batch).alias("n")).first()["n"]  # one number
     per = log.groupBy(*key).agg(F.min(batch).alias("first_batch"), F.max(batch).alias("last_batch"))
-    return per.withColumn("_k", F.lit(1)).join(newest, "_k").withColumn(
-        "kept_as_history", F.col("last_batch") < F.col("_newest")).drop("_k", "_newest")
+    return per.withColumn("kept_as_history", F.col("last_batch") < F.lit(newest))
 
 
 def supersede_if_default_seen(variants: DataFrame, stored: DataFrame) -> DataFrame:
