@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from catalith.durable import materialize
 
-# Rows a broadcast side may have; measured, never assumed.
+# Rows and bytes a broadcast side may have; measured, never assumed.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 # Deepest row a TakeOrdered plan may carry through one task.
 TAKE_ROWS = 50_000
 SALTS = 16
@@ -67,9 +68,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``rows`` rows; reads no further than that."""
-    return df.limit(rows + 1).count() <= rows
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``rows`` rows and about ``size`` bytes.
+
+    Each partition is read no further than ``rows + 1`` rows; the byte count is
+    the length of the rows as JSON text.
+    """
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return seen["n"] <= rows and seen["b"] <= size
 
 
 def dictionary_join(
@@ -78,7 +85,8 @@ def dictionary_join(
 ) -> DataFrame:
     """Join ``big`` to the dictionary ``small`` on the columns ``on``.
 
-    Up to ``rows`` rows the dictionary is broadcast.  Beyond that each
+    Up to ``rows`` rows (and the byte bound) the dictionary is broadcast.  Beyond
+    that each
     dictionary row is repeated ``salts`` times and the big side spreads its rows
     over the salts, so a key holding a third of ``big`` becomes ``salts`` groups.
     ``how`` may be inner, left, left_semi or left_anti.  ``fits`` passes the
