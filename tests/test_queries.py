@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from catalith import plans
 from tests.oracle_compare import compare, connect
 
 FOLDER = os.environ.get("CATALITH_TEST_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = plans.queries(), plans.oracle_sql()
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
 
