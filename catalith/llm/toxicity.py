@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -40,9 +41,12 @@ from catalith.llm.transducers import Transducer, compose, reported_speech, windo
 SAMPLE = 20_000
 #: Least distinct neighbourhoods of a learned word; of a word beginning, and its least number of words.
 WORD_SUPPORT, STEM_SUPPORT, STEM_WORDS = 4, 8, 3
+#: Most clean texts with a word beginning, for each neighbourhood in toxic ones: a single insult must not
+#: lend its beginning to the clean words that share it.
+STEM_CLEAN = 0.02
 STEMS = (3, 4, 5, 6)
-#: Least weight of a learned entry.
-LEAST_WEIGHT = 2.0
+#: Least log-odds of a learned entry, that many standard errors below what was seen (many words are tried).
+LEAST_ODDS, ERRORS = 1.5, 2.5
 THRESHOLD = 0.7
 
 # Starting lexicons (English, German, French, Spanish).
@@ -181,16 +185,16 @@ def toxicity(grammar: Grammar, text: Column) -> Column:
 def _features(words: list[str]) -> Iterator[tuple[str, str, int]]:
     """Each word, and its beginnings as ``beginning*``, with the word and a hash of its neighbours."""
     for i, w in enumerate(words):
-        near = hash((words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""))
+        near = zlib.crc32(f"{words[i - 1] if i else ''} {words[i + 1] if i + 1 < len(words) else ''}".encode())
         yield w, w, near
         for n in STEMS:
             if len(w) > n:
                 yield w[:n] + "*", w, near
 
 
-def _entry_weight(s: float, n: float, toxic: int, clean: int) -> float:
-    """Lower bound (one standard error) of the log-odds of a word in s of the toxic and n of the clean texts."""
-    return math.log((s + 0.5) / (n + 0.5)) - math.log((toxic + 1) / (clean + 1)) - math.sqrt(1 / (s + 0.5) + 1 / (n + 0.5))
+def _odds(s: float, n: float, toxic: int, clean: int, errors: float) -> float:
+    """Log-odds of a word in s of the toxic and n of the clean texts, less so many standard errors."""
+    return math.log((s + 0.5) / (n + 0.5)) - math.log((toxic + 1) / (clean + 1)) - errors * math.sqrt(1 / (s + 0.5) + 1 / (n + 0.5))
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Grammar:
@@ -215,7 +219,6 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Grammar:
             yield pd.DataFrame([(f, w, near, 0) for f, w, near in seen] + [(f, "", 0, n) for f, n in docs.items()],
                                columns=["f", "w", "near", "docs"])
 
-    # Neighbour hashes must agree between workers: Spark fixes PYTHONHASHSEED for them.
     with settings(rows.sparkSession, BATCH):
         found = rows.filter("toxic = 1").select("text").mapInPandas(gather, "f string, w string, near long, docs long")
         table = (found.groupBy("f").agg(F.countDistinct(F.when(F.col("docs") == 0, F.col("near"))).alias("s"), F.sum("docs").alias("p"),
@@ -244,9 +247,12 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Grammar:
     stems: dict[str, float] = {}
     for f, s in known.items():
         seed = f in seeds
-        weight = _entry_weight(s + SEED_FAITH * seed, other.get(f, 0), toxic, clean)
-        if weight < LEAST_WEIGHT:
+        s += SEED_FAITH * seed
+        if _odds(s, other.get(f, 0), toxic, clean, 1.0 if seed else ERRORS) < LEAST_ODDS:
             continue
+        if f.endswith("*") and other.get(f, 0) > STEM_CLEAN * s:
+            continue
+        weight = _odds(s, other.get(f, 0), toxic, clean, 1.0)
         if f.endswith("*"):
             stems[f[:-1]] = weight
         else:
