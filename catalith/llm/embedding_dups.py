@@ -21,7 +21,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +31,7 @@ from catalith.llm.components import components
 from catalith.llm.registry import query
 from catalith.llm.simhash import Forest
 
-THRESHOLD, RECALL = 0.9, 0.999
+THRESHOLD, RECALL = 0.9, 0.99
 #: Vectors that fit the splits; vectors in a leaf; vectors compared in one group and side.
 SAMPLE, LEAF, BLOCK = 20_000, 384, 1024
 #: Share of a node's vectors that goes to both sides.
@@ -103,41 +102,41 @@ def _unit(column: pa.Array, dim: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def compare(a: pd.DataFrame, b: pd.DataFrame | None, dim: int, leaf: int, threshold: float) -> pd.DataFrame:
-    """Counts and a star edge of the vectors of two blocks of a leaf (``b`` None: within ``a``).
+def compare(block: pa.Table, split: int | None, dim: int, leaf: int, threshold: float) -> pa.Table:
+    """Counts and a star edge of the vectors of a block of a leaf, or (``split``) between its first rows and the rest.
 
     Returns ``(node, links, root)``: links counts, with copies, the partners whose first
     common leaf is this one.
     """
-    own = b is None
-    both = a if own else pd.concat([a, b], ignore_index=True)
-    x = _unit(pa.array(both["v"], type=pa.list_(pa.float64())), dim)
-    node, copies = both["node"].to_numpy(), both["copies"].to_numpy()
-    n, m = len(a), 0 if own else len(a)
-    earlier = [np.asarray(v)[np.asarray(v) < leaf] for v in both["leaves"]]
-    flat = np.concatenate(earlier) if len(earlier) else np.zeros(0, dtype=np.int64)
-    names, at = np.unique(flat, return_inverse=True)
-    member = np.zeros((len(both), len(names)), dtype=np.float32)
-    member[np.repeat(np.arange(len(both)), [len(e) for e in earlier]), at] = 1
-    links, forest = np.zeros(len(both), dtype=np.int64), Forest(len(both))
-    for s in range(0, n, 512):
-        rows = slice(s, min(s + 512, n))
-        near = x[rows] @ x[m:].T >= threshold
-        if own:
-            near[np.arange(near.shape[0]), np.arange(s, rows.stop)] = False
+    x = _unit(block.column("v").combine_chunks(), dim)
+    copies = block.column("copies").to_numpy()
+    n, m = (len(x), 0) if split is None else (split, split)
+    leaves = block.column("leaves").combine_chunks()
+    row = np.repeat(np.arange(len(x)), leaves.value_lengths().to_numpy())
+    other = leaves.flatten().to_numpy()
+    row, other = row[other < leaf], other[other < leaf]
+    names, at = np.unique(other, return_inverse=True)
+    member = np.zeros((len(x), len(names)), dtype=bool)
+    member[row, at] = True
+    member = np.packbits(member, axis=1)
+    links, forest = np.zeros(len(x), dtype=np.int64), Forest(len(x))
+    for s in range(0, n, 128):
+        near = x[s:min(s + 128, n)] @ x[m:].T >= threshold
+        if split is None:
+            near[np.arange(len(near)), np.arange(s, s + len(near))] = False
         i, j = np.nonzero(near)
         if not len(i):
             continue
         i, j = i + s, j + m
         forest.link(i, j)
-        first = (member[rows] @ member[m:].T < 0.5)[i - s, j - m]
+        first = ~(member[i] & member[j]).any(axis=1)
         i, j = i[first], j[first]
-        links += np.bincount(i, weights=copies[j], minlength=len(both)).astype(np.int64)
-        if not own:
-            links += np.bincount(j, weights=copies[i], minlength=len(both)).astype(np.int64)
-    root = forest._flat()
-    told = (links > 0) | (root != np.arange(len(root)))
-    return pd.DataFrame({"node": node[told], "links": links[told], "root": node[root[told]]})
+        links += np.bincount(i, weights=copies[j], minlength=len(x)).astype(np.int64)
+        if split is not None:
+            links += np.bincount(j, weights=copies[i], minlength=len(x)).astype(np.int64)
+    root = forest.roots()
+    told = np.flatnonzero((links > 0) | (root != np.arange(len(root))))
+    return pa.table({"node": block.column("node").take(pa.array(told)), "links": links[told], "root": block.column("node").take(pa.array(root[told]))})
 
 
 def usable(vector: Column) -> Column:
@@ -154,7 +153,7 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
     nothing; nor do vectors of different lengths, or rows whose key is null.  Repeated
     rows count as often as they occur; other columns are not read.
     """
-    table = rows.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"))
+    table = rows.select(F.col(key).alias("k"), F.col(vector).alias("v"))
     table = table.withColumn("ok", usable(F.col("v")) & F.col("k").isNotNull())
     table = table.withColumn("digest", F.sha2(F.col("v").cast("string"), 256))
     good = table.filter("ok")
@@ -184,7 +183,7 @@ def _leaf_links(nodes: DataFrame, dim: int, n: int, threshold: float, leaf: int,
     points = _unit(pa.array(list(sample), type=pa.list_(pa.float64())), dim) if len(sample) else np.zeros((0, dim))
     levels, trees = shape(n, len(points), leaf, recall)
     splits = fit(points, levels, trees)
-    kind = nodes.schema["node"].dataType.simpleString()
+    kind, vectors = (nodes.schema[c].dataType.simpleString() for c in ("node", "v"))
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -193,7 +192,7 @@ def _leaf_links(nodes: DataFrame, dim: int, n: int, threshold: float, leaf: int,
             lists = pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(at, type=pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column("node"), b.column("copies"), b.column("v"), lists], names=["node", "copies", "v", "leaves"])
 
-    placed = nodes.select("node", "copies", "v").mapInArrow(routed, f"node {kind}, copies long, v array<double>, leaves array<long>")
+    placed = nodes.select("node", "copies", "v").mapInArrow(routed, f"node {kind}, copies long, v {vectors}, leaves array<long>")
     placed = stored(placed, "routed")
     # One row per leaf: bounded by trees and levels, and by SAMPLE.
     sizes = placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
@@ -202,15 +201,16 @@ def _leaf_links(nodes: DataFrame, dim: int, n: int, threshold: float, leaf: int,
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")))
 
-    def within(g: pd.DataFrame) -> pd.DataFrame:
-        lo, hi, at = int(g["lo"].iloc[0]), int(g["hi"].iloc[0]), int(g["leaf"].iloc[0])
-        g = g.sort_values("node", ignore_index=True)
+    def within(group: pa.Table) -> pa.Table:
+        lo, hi, at = (group.column(c)[0].as_py() for c in ("lo", "hi", "leaf"))
+        group = group.sort_by("node")
         if lo == hi:
-            return compare(g, None, dim, at, threshold)
-        a, b = (g[g["own"] == x].reset_index(drop=True) for x in (lo, hi))
-        return compare(a, b, dim, at, threshold) if len(a) and len(b) else pd.DataFrame({"node": g["node"][:0], "links": g["copies"][:0], "root": g["node"][:0]})
+            return compare(group, None, dim, at, threshold)
+        own = group.column("own").to_numpy()
+        order = np.argsort(own != lo, kind="stable")
+        return compare(group.take(pa.array(order)), int((own == lo).sum()), dim, at, threshold)
 
-    return materialize(spread.groupBy("leaf", "lo", "hi").applyInPandas(within, f"node {kind}, links long, root {kind}"), "compared")
+    return materialize(spread.groupBy("leaf", "lo", "hi").applyInArrow(within, f"node {kind}, links long, root {kind}"), "compared")
 
 
 @query("op4_embedding_dups")

@@ -152,20 +152,20 @@ class Forest:
 
     def link(self, i: np.ndarray, j: np.ndarray) -> None:
         while len(i):
-            self.root = self._flat()
+            self.root = self.roots()
             x, y = self.root[i], self.root[j]
             open_ = x != y
             i, j, x, y = i[open_], j[open_], x[open_], y[open_]
             np.minimum.at(self.root, np.maximum(x, y), np.minimum(x, y))
 
-    def _flat(self) -> np.ndarray:
+    def roots(self) -> np.ndarray:
         root = self.root
         while not np.array_equal(up := root[root], root):
             root = up
         return root
 
     def stars(self) -> tuple[np.ndarray, np.ndarray]:
-        root = self._flat()
+        root = self.roots()
         leaves = np.flatnonzero(root != np.arange(len(root)))
         return leaves, root[leaves]
 
