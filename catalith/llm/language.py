@@ -36,7 +36,7 @@ SIZES = (1, 2, 3, 4)
 #: Least share of a language's texts, and least share of the largest language's share.
 SHARE, OF_LARGEST = 0.004, 0.25
 #: Characters looked up at once.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 17
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -183,4 +183,5 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def drop_unknown(docs: DataFrame) -> DataFrame:
     """``docs`` without texts that have no letter or no n-gram of any learned language."""
     told = language(fit(learnable(docs)), F.col("text"))
-    return docs.withColumn("_catalith_l", told).filter("_catalith_l.lang <> 'und' and _catalith_l.score > 0").select(*docs.columns)
+    kept = docs.withColumn("_catalith_l", told).filter("_catalith_l.lang <> 'und' and _catalith_l.score > 0")
+    return stored(kept.select(*docs.columns), "known")

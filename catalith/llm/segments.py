@@ -2,8 +2,8 @@
 
 Both pre-tokenizers used here never match across a single space that stands
 between two other characters, so the pieces on either side of it encode alone.
-Words recur, so their ids are kept; the store is emptied when it is full, which
-changes no result.
+Words recur, so their ids are kept; when the store is full, pieces not met lately
+are forgotten, which changes no result.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 
@@ -22,14 +23,20 @@ _SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 
 class _Store(dict):
+    """What ``make`` gives for a piece; pieces not met again for a while go."""
+
     def __init__(self, make) -> None:
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, piece: str):
-        if len(self) >= KEPT_PIECES:
+        value = self.old.get(piece)
+        if value is None:
+            value = self.make(piece)
+        if len(self) >= KEPT_PIECES // 2:
+            self.old = dict(self)
             self.clear()
-        value = self[piece] = self.make(piece)
+        self[piece] = value
         return value
 
 
@@ -45,21 +52,55 @@ class Encoder:
         self.model, self.pre, self.norm = self.tok.model, self.tok.pre_tokenizer, self.tok.normalizer
         #: True if white space leaves no ids, so that runs of separators need no care.
         self.drops_space = not self.tok.encode(" \n", add_special_tokens=False).ids
-        self.bare = _Store(self._ids)
-        self.spaced = self.bare if self.drops_space else _Store(lambda w: self._ids(" " + w))
+        self.letters = self._letters()
+        self.letter_set = frozenset(map(chr, self.letters))
+        self.lead = {"": "", " ": "" if self.drops_space else self.pre.pre_tokenize_str(" a")[0][0][:-1]}
+        self.bare = _Store(lambda w: self._word(w, ""))
+        self.spaced = self.bare if self.drops_space else _Store(lambda w: self._word(w, " "))
         self.spans_bare = _Store(self._spans)
         self.spans_spaced = _Store(lambda w: self._spans(" " + w))
 
-    def _ids(self, piece: str) -> bytes:
-        if not piece:
+    def _letters(self) -> dict[int, str]:
+        """Latin letters that stay one pre-token, with what the pre-tokenizer makes of them."""
+        out = {}
+        for c in map(chr, range(0x41, 0x250)):
+            if c.isalpha():
+                parts = self.pre.pre_tokenize_str(self.norm.normalize_str(c) if self.norm else c)
+                if len(parts) == 1:
+                    out[ord(c)] = parts[0][0]
+        return out
+
+    def _pair(self, piece: str, store: _Store, spaced: _Store) -> bytes | None:
+        """A word with one stop or comma after it: two pre-tokens, whose ids are known apart."""
+        word, last = piece[:-1], piece[-1]
+        if last in ".," and word and self.letter_set.issuperset(word):
+            return spaced[word] + store[last]
+        return None
+
+    def _word(self, piece: str, lead: str) -> bytes:
+        """Ids of a piece after ``lead`` (nothing or a space); words of Latin letters need no pre-tokenizer."""
+        if not piece and not lead:
             return b""
-        text = self.norm.normalize_str(piece) if self.norm else piece
+        if piece and self.letter_set.issuperset(piece):
+            tokens = self.model.tokenize(self.lead[lead] + piece.translate(self.letters))
+            return pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        if (both := piece and self._pair(piece, self.bare, self.spaced if lead else self.bare)):
+            return both
+        text = lead + piece
+        text = self.norm.normalize_str(text) if self.norm else text
         ids = [t.id for part, _ in self.pre.pre_tokenize_str(text) for t in self.model.tokenize(part)]
-        return np.array(ids, dtype="<u4").tobytes()
+        return pack(f"<{len(ids)}I", *ids)
 
     def _spans(self, piece: str) -> bytes:
         if not piece:
             return b""
+        word = piece[1:] if piece[0] == " " else piece
+        if word and word.isascii() and self.letter_set.issuperset(word):
+            # The model counts bytes of the mapped word: one a character, but for the mapped space.
+            lead = self.lead[piece[:len(piece) - len(word)]]
+            off = len(lead.encode()) - (len(piece) - len(word))
+            flat = [max(0, x - off) if lead else x - off for t in self.model.tokenize(lead + word.translate(self.letters)) for x in t.offsets]
+            return pack(f"<{len(flat)}i", *flat)
         return np.array(self.tok.encode(piece, add_special_tokens=False).offsets, dtype="<i4").tobytes()
 
     def ids(self, text: str) -> bytes:

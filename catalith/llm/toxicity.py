@@ -214,10 +214,15 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Grammar:
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            seen = {(f, w, near) for t in b["text"] for f, w, near in _features([x for x in _WORD.findall(t.lower()) if x not in _QUOTES])}
-            docs = Counter(f for t in b["text"] for f in {f for f, _, _ in _features([x for x in _WORD.findall(t.lower()) if x not in _QUOTES])})
-            yield pd.DataFrame([(f, w, near, 0) for f, w, near in seen] + [(f, "", 0, n) for f, n in docs.items()],
-                               columns=["f", "w", "near", "docs"])
+            for start in range(0, len(b), 16):  # a few texts at a time: each gives thousands of rows
+                seen: set[tuple[str, str, int]] = set()
+                docs: Counter = Counter()
+                for t in b["text"].iloc[start:start + 16]:
+                    own = set(_features([x for x in _WORD.findall(t.lower()) if x not in _QUOTES]))
+                    docs.update({f for f, _, _ in own})
+                    seen |= own
+                yield pd.DataFrame([(f, w, near, 0) for f, w, near in seen] + [(f, "", 0, n) for f, n in docs.items()],
+                                   columns=["f", "w", "near", "docs"])
 
     with settings(rows.sparkSession, BATCH):
         found = rows.filter("toxic = 1").select("text").mapInPandas(gather, "f string, w string, near long, docs long")
@@ -297,4 +302,4 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows predicted toxic."""
     grammar = fit(labelled_rows(docs, labels))
-    return docs.filter(toxicity(grammar, F.col("text"))["score"] < THRESHOLD).select(*docs.columns)
+    return stored(docs.filter(toxicity(grammar, F.col("text"))["score"] < THRESHOLD).select(*docs.columns), "clean")
