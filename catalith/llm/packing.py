@@ -91,7 +91,7 @@ def sentence_ends(path: str) -> np.ndarray:
 
 def places_of(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
     """Positions where the stream may be cut, and their penalties; ``ends`` marks ids that end a sentence."""
-    kind = np.full(len(ids) + 1, WITHIN)
+    kind = np.full(len(ids) + 1, WITHIN, dtype=np.uint8)
     kind[np.flatnonzero(ends[ids]) + 1] = AT_SENTENCE
     kind[doc_ends] = 0
     kind[0] = 0
@@ -100,7 +100,7 @@ def places_of(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray, limit: in
     gaps = np.diff(at)
     if (gaps > limit).any():
         at = np.unique(np.concatenate([at, *(np.arange(at[k] + limit, at[k + 1], limit) for k in np.flatnonzero(gaps > limit))]))
-    return at, kind[at]
+    return at, kind[at].astype(np.int64)
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 0, limit: int = LIMIT, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ are forgotten, which changes no result.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from functools import lru_cache
@@ -16,7 +17,7 @@ from struct import pack
 import numpy as np
 
 #: Pieces whose ids a worker keeps (some 200 bytes each).
-KEPT_PIECES = 200_000
+KEPT_PIECES = 300_000
 #: Two separators in a row, or white space other than space and line end.
 _ODD = re.compile(r"[ \n][ \n]|[^\S \n]")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
@@ -143,4 +144,5 @@ class Encoder:
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     """One encoder per file and Python worker."""
+    gc.set_threshold(200_000)  # the store's many strings hold no cycles worth looking for
     return Encoder(path)
