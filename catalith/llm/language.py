@@ -36,7 +36,7 @@ SIZES = (1, 2, 3, 4)
 #: Least share of a language's texts, and least share of the largest language's share.
 SHARE, OF_LARGEST = 0.004, 0.25
 #: Characters looked up at once.
-AT_ONCE = 1 << 17
+AT_ONCE = 1 << 15
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 

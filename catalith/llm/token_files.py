@@ -66,7 +66,11 @@ def train(samples: list[bytes], size: int = DICTIONARY) -> bytes:
 def compressor(dictionary: bytes):
     import zstandard
 
-    return zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary)) if dictionary else zstandard.ZstdCompressor(level=LEVEL)
+    if not dictionary:
+        return zstandard.ZstdCompressor(level=LEVEL)
+    made = zstandard.ZstdCompressionDict(dictionary)
+    made.precompute_compress(level=LEVEL)  # else each short frame digests the dictionary anew
+    return zstandard.ZstdCompressor(dict_data=made)
 
 
 def decompressor(dictionary: bytes):
