@@ -94,7 +94,8 @@ def concept_scores(datasets: DataFrame, concepts: DataFrame, min_score: float, c
 
 
 def _scan(queries: DataFrame, corpus: DataFrame, query_block: int, keep) -> DataFrame:
-    """Run ``keep(query ids, query matrix, ids, matrix)`` over every pair of blocks."""
+    """Run ``keep(query ids, query matrix, ids, matrix)`` over every pair of blocks; an unknown model meets none."""
+    queries, corpus = queries.filter(F.col("model").isNotNull()), corpus.filter(F.col("model").isNotNull())
     id_type = corpus.schema["id"].dataType.simpleString()
     q_type = queries.schema["query_id"].dataType.simpleString()
     schema = f"query_id {q_type}, id {id_type}, score double"

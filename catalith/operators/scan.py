@@ -39,7 +39,7 @@ def segmented_scan(
 def _scan(elems: DataFrame, rows: int, combine: Callable[[Column, Column], Column],
           identity: Column, chunk: int) -> DataFrame:
     # A group below is one block's share of one chunk: at most ``chunk`` rows.
-    grouped = (elems.withColumn("_c", F.floor(F.col("_idx") / chunk))
+    grouped = (elems.withColumn("_c", F.floor((F.col("_idx") - 1) / chunk) + 1)
                .groupBy("_b", "_c").agg(F.array_sort(F.collect_list(F.struct("_idx", "_e"))).alias("_items")))
     start = F.struct(
         F.slice(F.transform("_items", lambda x: F.struct(x["_idx"].alias("i"), x["_e"].alias("v"))), 1, 0).alias("out"),
@@ -52,7 +52,7 @@ def _scan(elems: DataFrame, rows: int, combine: Callable[[Column, Column], Colum
         return local.select("_b", F.inline("out")).select("_b", F.col("i").alias("_i"), F.col("v").alias("_before"))
     local = materialize(local, "chunk")
     totals = local.select("_b", F.col("_c").alias("_idx"), F.col("acc").alias("_e"))
-    carried = _scan(totals, -(-rows // chunk) + 1, combine, identity, chunk).select(
+    carried = _scan(totals, -(-rows // chunk), combine, identity, chunk).select(
         F.col("_b").alias("_b2"), F.col("_i").alias("_c2"), F.col("_before").alias("_carry"))
     joined = local.join(carried, local["_b"].eqNullSafe(carried["_b2"]) & (local["_c"] == carried["_c2"]))
     return joined.select("_b", "_carry", F.inline("out")).select(

@@ -84,7 +84,10 @@ RECEIPT_SCHEMA = ("id string, requested_url string, final_url string, retrieved_
 
 def read_receipts(spark: SparkSession, path: str) -> DataFrame:
     """Evidence receipts, one JSON object per file or line."""
-    return spark.read.schema(RECEIPT_SCHEMA).option("multiLine", True).json(path)
+    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
+    per_line = F.forall(lines, lambda x: F.trim(x).startswith("{") & F.trim(x).endswith("}"))
+    texts = spark.read.text(path, wholetext=True).select(F.explode(F.when(per_line, lines).otherwise(F.array("value"))).alias("t"))
+    return texts.select(F.from_json("t", RECEIPT_SCHEMA).alias("r")).select("r.*")
 
 
 def read_evidence(spark: SparkSession, path: str) -> DataFrame:

@@ -103,3 +103,12 @@ def test_set_and_digest_checks(spark):
     assert {(x.v, x.left_copies, x.right_copies) for x in rc.multiset_difference(a, b, "v").collect()} == {("x", 2, 1), ("y", 1, 0), ("z", 0, 1)}
     rows = spark.createDataFrame([("t1", 1, "a"), ("t1", 2, "b"), ("t2", 2, "b"), ("t2", 1, "a"), ("t3", 1, "b"), ("t3", 2, "a")], "t string, p int, c string")
     assert {(x.t, x.is_first) for x in rc.duplicate_tables(rows, ["t"], "p", ["c"]).collect()} == {("t1", True), ("t2", False)}
+
+
+@pytest.mark.parametrize("rows", [15, 16, 17, 255, 256, 257])
+def test_carry_down_at_chunk_edges(spark, rows):
+    from catalith.operators.scan import carry_down
+
+    df = spark.range(1, rows + 1).selectExpr("'b' as b", "id", "if(id = 1, 'first', null) as v")
+    out = carry_down(df, "b", ["id"], F.col("v"), "got", chunk=16)
+    assert out.filter("got = 'first'").count() == rows

@@ -87,3 +87,12 @@ def test_log_has_no_query_text(spark, tmp_path):
     path = str(tmp_path / "log")
     log = ev.retrieval_log(res, "v", path)
     assert "query_text" not in log.columns and spark.read.parquet(path).count() == 1
+
+
+def test_unknown_model_meets_none_on_either_path(spark):
+    from catalith.operators import retrieval
+
+    q = spark.createDataFrame([("q1", None, [1.0, 0.0]), ("q2", None, [1.0, 0.0])], "concept_id string, model string, vec array<double>")
+    d = spark.createDataFrame([("d1", None, [1.0, 0.0])], "dataset_id string, model string, vec array<double>")
+    for block in (1, 10):
+        assert retrieval.concept_scores(d, q, 0.5, concept_block=block).count() == 0

@@ -140,3 +140,11 @@ def test_receipts_and_snapshots(spark, tmp_path):
     xp.snapshot_swap(spark.range(3), root)
     xp.snapshot_swap(spark.range(5), root)
     assert xp.read_snapshot(spark, root).count() == 5
+
+
+def test_receipts_per_file_and_per_line(spark, tmp_path):
+    from catalith.sources import definitions
+
+    (tmp_path / "lines.json").write_text('{"id": "a"}\n{"id": "b"}\n')
+    (tmp_path / "whole.json").write_text('{\n "id": "c"\n}\n')
+    assert sorted(r["id"] for r in definitions.read_receipts(spark, str(tmp_path)).collect()) == ["a", "b", "c"]
