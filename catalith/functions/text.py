@@ -125,12 +125,14 @@ def csv_cell(c: Column | str) -> Column:
 
     Quotes follow the strict rule: a quoted field must end at a comma or the
     end, and a doubled quote stands for one.  Spaces after a comma are skipped.
+    Every repetition is possessive, so long cells and long records take linear
+    time and no stack.
     """
     col = _c(c)
-    field = '(?:"(?:[^"]|"")*"|[^",\\r\\n][^,\\r\\n]*|)'
-    strict = col.rlike(f"^ *{field}(?:, *{field})*$") & (col != "")
+    field = '(?:"[^"]*+(?:""[^"]*+)*+"|[^",\\r\\n][^,\\r\\n]*+|)'
+    strict = col.rlike(f"^ *+{field}(?:, *+{field})*+$") & (col != "")
     # Each match starts at the beginning or at a comma, so empties keep a place.
-    raw = F.regexp_extract_all(F.concat(F.lit(","), col), F.lit(f", *({field})"), F.lit(1))
+    raw = F.regexp_extract_all(F.concat(F.lit(","), col), F.lit(f", *+({field})"), F.lit(1))
     opened = F.transform(raw, lambda x: F.when(
         x.startswith('"'), F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
     return F.when(strict, opened).otherwise(F.array().cast("array<string>"))
@@ -200,16 +202,16 @@ def metadata_flags(title: Column, description: Column, keywords: Column, lang: C
         F.when(blank(description) & blank(keywords), F.lit("insufficient_metadata"))))
 
 
-def first_record_header(content: Column | str, limit: int = 65536) -> Column:
+def first_record_header(content: Column | str, limit: int | None = None) -> Column:
     """Struct(encoding, header, status) of the first CSV record of a file.
 
     The header stays a candidate (``first_record_is_header_verified`` is never
     asserted).  The file is unresolved when its first record is longer than
-    ``limit`` bytes, is markup, starts a UTF-16 file, or is in neither UTF-8 nor
+    ``limit`` bytes (no limit unless one is given), is markup, starts a UTF-16 file, or is in neither UTF-8 nor
     CP949.  Reading CP949 needs ``spark.sql.legacy.javaCharsets=true``.
     """
     raw = _c(content)
-    cut = F.substring(raw, 1, limit + 1)
+    cut = raw if limit is None else F.substring(raw, 1, limit + 1)
     # Byte-for-byte view: quotes and line ends never occur inside a CP949 or
     # UTF-8 multi-byte character, so the record's end is found without decoding.
     # Text between quotes alternates outside/inside; the record ends at the first
@@ -224,7 +226,7 @@ def first_record_header(content: Column | str, limit: int = 65536) -> Column:
     size = F.when(walk["done"], walk["size"]).otherwise(walk["size"] - 1)
     first = raw.substr(F.lit(1), size)
     utf16 = F.hex(F.substring(raw, 1, 2)).isin("FFFE", "FEFF")
-    too_long = F.octet_length(first) > limit
+    too_long = F.lit(False) if limit is None else F.octet_length(first) > limit
     is_utf8 = F.is_valid_utf8(first.cast("string"))
     # Two-byte characters removed, a CP949 text is plain ASCII; anything else is
     # not decoded at all, because decoding malformed bytes is an error.

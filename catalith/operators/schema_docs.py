@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from catalith.durable import materialize
 from catalith.sources.definitions import json_array_length, json_items, json_value
 
-# Limits of schema expansion and the HTTP methods of an operation.
-MAX_SCHEMA_DEPTH = 40
+# The HTTP methods of an operation.
 METHODS = ("get", "post", "put", "patch", "delete", "options", "head", "trace")
 
 
@@ -229,20 +228,22 @@ def _is_object(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
-def document_nodes(docs: DataFrame, max_depth: int = MAX_SCHEMA_DEPTH) -> DataFrame:
-    """Every node that a local ``$ref`` may name: (path, pointer, node).
+def document_nodes(docs: DataFrame) -> DataFrame:
+    """Nodes that the local ``$ref`` of a document name: (path, pointer, node).
 
-    References in specifications point into the component sections, so those two
-    levels are unfolded (``#/components/<section>/<name>``, ``#/definitions/<name>``
-    and the like); deeper pointers are resolved by stepping from there.
+    Only pointers that occur are resolved, each member by member to any depth;
+    arrays are not stepped into.  Pointers without a node give no row.
     """
-    top = docs.select("path", F.inline(_members(F.col("doc"))))
-    one = top.select("path", F.concat(F.lit("#/"), _escape(F.col("key"))).alias("pointer"), F.col("value").alias("node"))
-    two = one.select("path", "pointer", F.inline(_members(F.col("node")))).select(
-        "path", F.concat_ws("/", "pointer", _escape(F.col("key"))).alias("pointer"), F.col("value").alias("node"))
-    three = two.filter("pointer like '#/components/%'").select("path", "pointer", F.inline(_members(F.col("node")))).select(
-        "path", F.concat_ws("/", "pointer", _escape(F.col("key"))).alias("pointer"), F.col("value").alias("node"))
-    return one.unionAll(two).unionAll(three)
+    # The document's text is only searched for pointers; each is read back as JSON.
+    found = F.regexp_extract_all(F.to_json("doc"), F.lit(r'"\$ref":("#/(?:[^"\\]++|\\.)*+")'), F.lit(1))
+    pointers = F.array_distinct(F.transform(found, lambda t: F.from_json(
+        F.concat(F.lit('{"p":'), t, F.lit("}")), "p string")["p"]))
+    names = F.transform(F.split(F.substr(F.col("pointer"), F.lit(3)), "/"), lambda n: F.replace(
+        F.replace(n, F.lit("~1"), F.lit("/")), F.lit("~0"), F.lit("~")))
+    node = F.aggregate(names, F.col("doc"), lambda at, name: F.try_element_at(
+        F.try_variant_get(at, "$", "map<string,variant>"), name))
+    return (docs.select("path", "doc", F.explode(pointers).alias("pointer"))
+            .select("path", "pointer", node.alias("node")).filter("node is not null"))
 
 
 def openapi_operations(docs: DataFrame) -> DataFrame:
@@ -259,14 +260,60 @@ def openapi_operations(docs: DataFrame) -> DataFrame:
         F.col("value").alias("node"))
 
 
-def openapi_fields(docs: DataFrame, max_depth: int = MAX_SCHEMA_DEPTH) -> tuple[DataFrame, DataFrame, DataFrame]:
+def openapi_parameters(docs: DataFrame) -> DataFrame:
+    """(path, operation, role, ordinal, definition): request parameters and bodies.
+
+    Parameters of the route come before those of the operation itself; ordinals
+    start at 0 within a role.
+    """
+    routes = docs.select("path", F.inline(_members(json_value("doc", "$.paths", "variant")))).select(
+        "path", F.concat(F.lit("openapi:"), F.lit("{}:"), "key").alias("_form"), F.col("value").alias("_item"))
+    ops = routes.select("path", "_form", "_item", F.inline(_members(F.col("_item")))).filter(
+        F.lower("key").isin(*METHODS) & _is_object(F.col("value")))
+    nothing = F.array().cast("array<variant>")
+    given = F.concat(F.coalesce(json_value("_item", "$.parameters", "array<variant>"), nothing),
+                     F.coalesce(json_value("value", "$.parameters", "array<variant>"), nothing))
+    body = F.array_compact(F.array(json_value("value", "$.requestBody", "variant")))
+    named = ops.select("path", F.replace("_form", F.lit("{}:"), F.concat(F.upper("key"), F.lit(":"))).alias("operation"),
+                       given.alias("request_parameter"), body.alias("request_body"))
+    roles = ("request_parameter", "request_body")
+    return _union([named.select("path", "operation", F.lit(r).alias("role"), F.posexplode(r).alias("ordinal", "definition"))
+                   for r in roles])
+
+
+def _follow_responses(resp: DataFrame, refs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Responses with every reference to a further response resolved, and the issues met.
+
+    One round follows one reference of each; a reference met before ends its chain.
+    """
+    open_ones = resp.withColumn("_met", F.array().cast("array<string>"))
+    ready, issues = [], []
+    while True:
+        pointed = open_ones.withColumn("_ref", F.nullif(json_value("node", "$['$ref']"), F.lit("")))
+        ready.append(pointed.filter("_ref is null").select(*resp.columns))
+        step = pointed.filter("_ref is not null")
+        if not step.limit(1).count():
+            return _union(ready), issues
+        step = materialize(step.join(refs, ["path", "_ref"], "left"), "responses")
+        again = F.array_contains("_met", F.col("_ref"))
+        reason = (F.when(again, F.lit("recursive_response_reference"))
+                  .when(~F.col("_ref").startswith("#/"), F.lit("external_schema_reference_not_fetched"))
+                  .when(F.col("_target").isNull(), F.concat(F.lit("local_schema_reference_missing:"), "_ref")))
+        step = step.withColumn("reason", reason)
+        issues.append(step.filter("reason is not null").select("path", "operation", "locator", "reason"))
+        open_ones = step.filter("reason is null").select(
+            "path", "operation", "status", F.col("_target").alias("node"), F.col("_ref").alias("locator"),
+            F.array_append("_met", F.col("_ref")).alias("_met"))
+
+
+def openapi_fields(docs: DataFrame, max_depth: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(fields, issues, operations) of the response schemas of OpenAPI documents.
 
     Schemas unfold level by level: all open schema nodes of all documents take
     one step per round, references by an equality join with ``document_nodes``.
-    A reference already on a node's own chain is a recursion issue; dynamic
-    properties, unresolved references and nodes deeper than ``max_depth`` are
-    issues too.
+    A reference already on a node's own chain is a recursion issue, which ends
+    every chain; dynamic properties, unresolved references and, only when it is
+    given, nodes deeper than ``max_depth`` are issues too.
     """
     refs = materialize(document_nodes(docs), "refs").select(
         "path", F.col("pointer").alias("_ref"), F.col("node").alias("_target"))
@@ -275,14 +322,7 @@ def openapi_fields(docs: DataFrame, max_depth: int = MAX_SCHEMA_DEPTH) -> tuple[
                       F.inline(_members(json_value("node", "$.responses", "variant")))).select(
         "path", "operation", F.col("key").alias("status"), F.col("value").alias("node"),
         F.concat(F.lit("#/paths/"), _escape(F.col("route")), F.lit("/"), "method", F.lit("/responses/"), "key").alias("locator"))
-    # A response may itself be a reference, usually one step into the components.
-    linked = resp.withColumn("_ref", json_value("node", "$['$ref']")).join(
-        refs, ["path", "_ref"], "left")
-    lost = linked.filter("_ref is not null and _target is null").select(
-        "path", "operation", "locator", F.concat(F.lit("local_schema_reference_missing:"), "_ref").alias("reason"))
-    resp = linked.filter("_ref is null or _target is not null").select(
-        "path", "operation", "status", F.coalesce("_target", "node").alias("node"),
-        F.coalesce("_ref", "locator").alias("locator"))
+    resp, lost = _follow_responses(resp, refs)
     direct = resp.select("path", "operation", "status", F.lit(None).cast("string").alias("media"),
                          json_value("node", "$.schema", "variant").alias("schema"),
                          F.concat("locator", F.lit("/schema")).alias("locator"))
@@ -297,10 +337,9 @@ def openapi_fields(docs: DataFrame, max_depth: int = MAX_SCHEMA_DEPTH) -> tuple[
         "path", "operation", "status", "media", "schema", "locator", strings.alias("names"), strings.alias("chain"),
         F.lit("").alias("variant")), "openapi")
     per_op = open_nodes.groupBy("path", "operation").agg(F.count(F.lit(1)).alias("response_schemas_observed"))
-    fields, issues = [], [lost]
-    for _ in range(max_depth + 1):
-        if not open_nodes.limit(1).count():
-            break
+    fields, issues, depth = [], lost, 0
+    while (max_depth is None or depth <= max_depth) and open_nodes.limit(1).count():
+        depth += 1
         step = materialize(_schema_step(open_nodes, refs), "openapi")
         fields.append(step.filter("outcome = 'field'"))
         issues.append(step.filter("outcome = 'issue'").select("path", "operation", "locator", "reason"))
@@ -373,7 +412,8 @@ def _schema_step(nodes: DataFrame, refs: DataFrame) -> DataFrame:
         composite = F.concat(composite, F.coalesce(F.transform(parts, part_of(word)), none))
     props = _members(json_value(s, "$.properties", "variant"))
     extra = json_value(s, "$.additionalProperties", "variant")
-    dynamic = extra.isNotNull() & ~F.coalesce(json_value(s, "$.additionalProperties", "boolean") == F.lit(False), F.lit(False))
+    empty = F.to_json(extra).isin("null", "false", "0", '""', "[]", "{}")
+    dynamic = extra.isNotNull() & ~F.coalesce(empty, F.lit(False))
     by_props = F.concat(
         F.when(dynamic, F.array(issue(F.lit("additional_dynamic_properties_not_enumerated")))).otherwise(none),
         F.transform(props, lambda m: row(

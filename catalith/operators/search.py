@@ -12,10 +12,9 @@ from catalith.layout import page, page_count
 from catalith.operators.lexical import KINDS
 from catalith.sources.definitions import json_items, json_value
 
-# Page sizes, page ranges and the length a text filter is cut to.
+# Page sizes and the last page of the graph search.
 GRAPH_PAGE, CATALOG_PAGE = 24, 25
-MAX_GRAPH_PAGE, MAX_CATALOG_PAGE = 1_000_000, 100_000
-MAX_FILTER_CHARS = 200
+MAX_GRAPH_PAGE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -38,7 +37,7 @@ def _require(known: DataFrame, column: str, value: str, what: str) -> None:
 
 
 def _text(value: str | None) -> str:
-    return (value or "").strip()[:MAX_FILTER_CHARS]
+    return (value or "").strip()
 
 
 def search_items(
@@ -138,10 +137,10 @@ def search_catalog(
 ) -> SearchResult:
     """Catalogue browser search; here ``%`` and ``_`` in texts do act as wildcards.
 
-    The page number is clamped instead of rejected.
+    A page below one is the first; a page after the last is empty.
     """
     portal, provider, q, field = map(_text, (portal, provider, q, field))
-    number = max(1, min(MAX_CATALOG_PAGE, number))
+    number = max(1, number)
     out = records
     if portal:
         out = out.filter(F.col("portal_id") == portal)

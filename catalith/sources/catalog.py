@@ -33,17 +33,22 @@ def read_bulk_csv(
 
     Adds ``file``, ``row_no`` (data rows from 1) and ``shape_ok`` (the row had
     exactly the expected number of cells).  Every file must start with
-    ``header``.  CP949 needs ``spark.sql.legacy.javaCharsets=true``, which is set
-    for this reader's session here.  Quoted line breaks are legal, so one file
+    ``header``.  CP949 needs ``spark.sql.legacy.javaCharsets=true``, which holds
+    while the files are read and no longer.  Quoted line breaks are legal, so one file
     is one task; the bulk set is many files.
     """
-    if encoding.upper() not in ("UTF-8", "UTF8"):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     schema = ", ".join(f"{c} string" for c in columns) + ", _bad string"
     raw = (spark.read.schema(schema).option("encoding", encoding).option("multiLine", True)
            .option("escape", '"').option("columnNameOfCorruptRecord", "_bad").csv(path))
     raw = raw.withColumn("file", F.input_file_name()).withColumn("_mid", F.monotonically_increasing_id())
-    raw = materialize(raw, "bulk")
+    charsets = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(charsets, None)
+    try:
+        if encoding.upper() not in ("UTF-8", "UTF8"):
+            spark.conf.set(charsets, "true")
+        raw = materialize(raw, "bulk")
+    finally:
+        spark.conf.unset(charsets) if before is None else spark.conf.set(charsets, before)
     starts = raw.groupBy("file").agg(F.min("_mid").alias("_first"))
     rows = raw.join(starts, "file").withColumn("row_no", F.col("_mid") - F.col("_first"))
     head = rows.filter("row_no = 0")
@@ -64,14 +69,19 @@ def bulk_row_valid(shape_ok: Column | None = None) -> Column:
 
 def bulk_records(rows: DataFrame, portal: str = "data-go", evidence: str = "data-go-bulk",
                  base: str = "https://www.data.go.kr/data/") -> DataFrame:
-    """Valid bulk rows in the registration shape; repeated keys stay separate rows."""
+    """Valid bulk rows in the registration shape; repeated keys stay separate rows.
+
+    Record numbers restart in every file, so ids and locators carry a key of the
+    file: the first eight hex digits of its path's SHA-256.
+    """
     suffix = F.lit(None).cast("string")
     for kind, page in BULK_KINDS.items():
         suffix = F.when(F.col("kind") == kind, F.lit(page)).otherwise(suffix)
     # Logical record numbers count the header line, hence the offset.
     number = (F.col("row_no") + 1).cast("string")
+    source = F.substring(F.sha2(F.col("file"), 256), 1, 8)
     return normalize_catalog(rows, {
-        "id": F.concat(F.lit(f"{portal}-row-"), number),
+        "id": F.concat(F.lit(f"{portal}-"), source, F.lit("-row-"), number),
         "portal_id": F.lit(portal),
         "dataset_key": F.col("list_key"),
         "title": F.col("title"),
@@ -80,7 +90,7 @@ def bulk_records(rows: DataFrame, portal: str = "data-go", evidence: str = "data
         "kind": F.col("kind"),
         "url": F.concat(F.lit(base), F.col("list_key"), F.lit("/"), suffix, F.lit(".do")),
         "evidence_id": F.lit(evidence),
-        "locator": F.concat(F.lit("csv_record:"), number),
+        "locator": F.concat(F.lit("csv_record:"), source, F.lit(":"), number),
         "output_raw": F.nullif("outputs", F.lit("")),
         "request_raw": F.nullif("request_vars", F.lit("")),
         "schema_status": F.when(F.coalesce(F.col("outputs"), F.lit("")) != "", F.lit("declared_labels_only"))

@@ -95,7 +95,17 @@ def test_first_record_header(spark):
     got = [r.h for r in spark.createDataFrame(rows, "b binary").select(T.first_record_header("b").alias("h")).collect()]
     assert (got[0].encoding, got[0].header) == ("cp949", ["이름", "값"])
     assert (got[1].encoding, got[1].header) == ("utf-8-sig", ["이름", "값\n둘"])
-    assert [g.status for g in got[2:]] == ["header_unresolved"] * 3 and not got[0].first_record_is_header_verified
+    assert [g.status for g in got[2:4]] == ["header_unresolved"] * 2 and not got[0].first_record_is_header_verified
+    assert got[4].header == ["a" * 70000]
+    cut = spark.createDataFrame(rows[4:], "b binary").select(T.first_record_header("b", 65536).alias("h")).first().h
+    assert cut.status == "header_unresolved"
+
+
+def test_long_csv_cells(spark):
+    quoted = '"' + 'a""b,' * 200_000 + '"'
+    many = ", ".join(["x"] * 100_000)
+    got = one(spark, T.csv_cell(F.lit(quoted)), F.size(T.csv_cell(F.lit(many))), T.csv_cell(F.lit('a, "b"c')))
+    assert got[0] == ['a"b,' * 200_000] and got[1] == 100_000 and got[2] == []
 
 
 def test_metadata_flags_and_normalisation(spark):

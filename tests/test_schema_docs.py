@@ -96,3 +96,35 @@ def test_previews_axis_pairs(spark):
     f, bad = D.unpivot_pairs(df, ["id"], "cells")
     assert sorted((r.id, r.name_en, r.name) for r in f.collect()) == [(1, "a", "A"), (2, "b", "b")]
     assert [(r.id, r.meaning) for r in bad.collect()] == [(2, "m")]
+
+
+def test_openapi_deep_and_chained_references(spark):
+    doc = {"openapi": "3.0", "paths": {"/a": {"parameters": [{"name": "p"}], "get": {
+        "parameters": [{"name": "q"}], "requestBody": {"content": {}}, "responses": {
+            "200": {"$ref": "#/components/responses/A"}, "400": {"$ref": "#/components/responses/Loop"},
+            "401": {"$ref": "http://x/y"}, "402": {"$ref": "#/components/responses/None"},
+            "500": {"schema": {"properties": {"in": {"$ref": "#/components/schemas/S/properties/a~1b"}}}}}}}},
+        "components": {
+            "schemas": {"S": {"properties": {"a/b": {"properties": {"deep": {"type": "string"}}}}},
+                        "Open": {"additionalProperties": {}, "properties": {"z": {"type": "string"}}}},
+            "responses": {"A": {"$ref": "#/components/responses/B"}, "B": {"$ref": "#/components/responses/C"},
+                          "C": {"schema": {"$ref": "#/components/schemas/Open"}},
+                          "Loop": {"$ref": "#/components/responses/Pool"}, "Pool": {"$ref": "#/components/responses/Loop"}}}}
+    f, i, _ = D.openapi_fields(docs(spark, doc))
+    assert sorted((r.status, r.schema_path) for r in f.collect()) == [("200", "z"), ("500", "in.deep")]
+    assert sorted(r.reason for r in i.collect()) == [
+        "external_schema_reference_not_fetched", "local_schema_reference_missing:#/components/responses/None",
+        "recursive_response_reference"]
+    given = D.openapi_parameters(docs(spark, doc)).select("operation", "role", "ordinal", F.to_json("definition").alias("d"))
+    assert sorted(tuple(r) for r in given.collect()) == [
+        ("openapi:GET:/a", "request_body", 0, '{"content":{}}'), ("openapi:GET:/a", "request_parameter", 0, '{"name":"p"}'),
+        ("openapi:GET:/a", "request_parameter", 1, '{"name":"q"}')]
+
+
+def test_openapi_depth_has_no_limit_of_its_own(spark):
+    node = {"type": "string"}
+    for k in range(42):
+        node = {"properties": {f"n{k}": node}}
+    doc = {"openapi": "3.0", "paths": {"/a": {"get": {"responses": {"200": {"schema": node}}}}}}
+    f, i, _ = D.openapi_fields(docs(spark, doc))
+    assert [r.schema_path.count(".") for r in f.collect()] == [41] and i.count() == 0

@@ -1,3 +1,4 @@
+from hashlib import sha256
 import json
 
 import pytest
@@ -30,8 +31,9 @@ def test_bulk_csv_to_records(spark, tmp_path):
     acc = rc.accounting_identity(split).collect()[0]
     assert (acc.source_rows, acc.imported, acc.invalid, acc.implicated, acc.balanced) == (7, 1, 4, 2, True)
     rec = ct.bulk_records(split.filter("quarantine_reason is null")).collect()[0]
-    assert rec.id == "data-go-row-3" and rec.url == "https://www.data.go.kr/data/1234567/fileData.do"
-    assert rec.locator == "csv_record:3" and rec.provider_id == "data-go-org-C1"
+    key = sha256(split.first().file.encode()).hexdigest()[:8]
+    assert rec.id == f"data-go-{key}-row-3" and rec.url == "https://www.data.go.kr/data/1234567/fileData.do"
+    assert rec.locator == f"csv_record:{key}:3" and rec.provider_id == "data-go-org-C1"
     toks = ct.declared_fields(ct.bulk_records(split.filter("quarantine_reason is null"))).collect()
     assert sorted((t.role, t.ordinal, t.name) for t in toks) == [
         ("output", 1, "o1"), ("output", 3, "o2"), ("request", 1, "x"), ("request", 2, "y")]
@@ -39,6 +41,16 @@ def test_bulk_csv_to_records(spark, tmp_path):
         ct.read_bulk_csv(spark, bulk(tmp_path, rows, header=("x", *ct.BULK_HEADER[1:])))
 
 
+def test_bulk_ids_of_two_files_differ(spark, tmp_path):
+    row = ["1234567", "목록", "a", "기관", "C1", "FILE", "svc", "CSV", "x", "o1", "월", "10"]
+    for d in ("one", "two"):
+        (tmp_path / d).mkdir()
+        bulk(tmp_path / d, [row])
+    before = spark.conf.get("spark.sql.legacy.javaCharsets", None)
+    ids = [r.id for r in ct.bulk_records(ct.read_bulk_csv(spark, f"{tmp_path}/*/bulk.csv")).collect()]
+    assert len(ids) == len(set(ids)) == 2 and spark.conf.get("spark.sql.legacy.javaCharsets", None) == before
+
+
 def test_documents_receipts_jsonl(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"portal_id": "p", "dataset_key": "k", "evidence_id": "e", "source_url": "u",
                                                  "fields": [{"name": "n", "unit": "-"}, {"name": "", "name_en": "x", "role": "response_control"}]}))
