@@ -12,7 +12,7 @@ import gc
 import os
 import re
 from functools import lru_cache
-from struct import pack
+from struct import pack, unpack
 
 import numpy as np
 
@@ -21,6 +21,10 @@ KEPT_PIECES = 200_000
 #: Two separators in a row, or white space other than space and line end.
 _ODD = re.compile(r"[ \n][ \n]|[^\S \n]")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
+#: Letters, then ASCII punctuation but the underscore: both pre-tokenizers end a match between them.
+_MIXED = re.compile(r"([^\W\d_]+)([!-/:-@\[-^`{-~].*)", re.DOTALL)
+#: Forms of few ids.
+_FORMATS = [f"<{n}I" for n in range(32)]
 
 
 class _Store(dict):
@@ -55,11 +59,13 @@ class Encoder:
         self.drops_space = not self.tok.encode(" \n", add_special_tokens=False).ids
         self.letters = self._letters()
         self.letter_set = frozenset(map(chr, self.letters))
+        self.widths = {chr(c): len(to.encode()) for c, to in self.letters.items()}
+        self.plain = self._plain()
         self.lead = {"": "", " ": "" if self.drops_space else self.pre.pre_tokenize_str(" a")[0][0][:-1]}
-        self.bare = _Store(lambda w: self._word(w, ""))
-        self.spaced = self.bare if self.drops_space else _Store(lambda w: self._word(w, " "))
-        self.spans_bare = _Store(self._spans)
-        self.spans_spaced = _Store(lambda w: self._spans(" " + w))
+        self.bare = self._id_store("")
+        self.spaced = self.bare if self.drops_space else self._id_store(" ")
+        self.spans_bare = self._span_store("")
+        self.spans_spaced = self._span_store(" ")
 
     def _letters(self) -> dict[int, str]:
         """Latin letters that stay one pre-token, with what the pre-tokenizer makes of them."""
@@ -71,38 +77,77 @@ class Encoder:
                     out[ord(c)] = parts[0][0]
         return out
 
-    def _pair(self, piece: str, store: _Store, spaced: _Store) -> bytes | None:
-        """A word with one stop or comma after it: two pre-tokens, whose ids are known apart."""
-        word, last = piece[:-1], piece[-1]
-        if last in ".," and word and self.letter_set.issuperset(word):
-            return spaced[word] + store[last]
-        return None
-
-    def _word(self, piece: str, lead: str) -> bytes:
-        """Ids of a piece after ``lead`` (nothing or a space); words of Latin letters need no pre-tokenizer."""
-        if not piece and not lead:
+    def _plain(self):
+        """What the pre-tokenizer makes of a word of ASCII letters, as one cheap call; None if it keeps not every such letter."""
+        ascii_letters = {c: self.letters.get(c) for c in range(0x41, 0x7B) if chr(c).isalpha()}
+        if None in ascii_letters.values():
+            return None
+        for made in (str, str.lower):
+            if all(made(chr(c)) == to for c, to in ascii_letters.items()):
+                return made
+        return lambda word: word.translate(self.letters)
+
+    def _id_store(self, lead: str) -> _Store:
+        """Ids of pieces after ``lead`` (nothing or a space).
+
+        Words of Latin letters need no pre-tokenizer; a word and what follows it from
+        its first ASCII punctuation on encode apart.
+        """
+        tokenize, head, plain, letters, known = self.model.tokenize, self.lead[lead], self.plain, self.letters, self.letter_set
+
+        def make(piece: str) -> bytes:
+            if piece.isalpha():
+                if plain and piece.isascii():
+                    ids = [t.id for t in tokenize(head + plain(piece))]
+                    return pack(_FORMATS[len(ids)] if len(ids) < len(_FORMATS) else f"<{len(ids)}I", *ids)
+                if known.issuperset(piece):
+                    ids = [t.id for t in tokenize(head + piece.translate(letters))]
+                    return pack(f"<{len(ids)}I", *ids)
+            elif (parts := _MIXED.fullmatch(piece)) and known.issuperset(parts[1]):
+                return store[parts[1]] + self.bare[parts[2]]
+            return self._other(lead + piece)
+
+        store = _Store(make)
+        return store
+
+    def _other(self, text: str) -> bytes:
+        """Ids of any text that may be cut out of its document."""
+        if not text:
             return b""
-        if piece and self.letter_set.issuperset(piece):
-            tokens = self.model.tokenize(self.lead[lead] + piece.translate(self.letters))
-            return pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-        if (both := piece and self._pair(piece, self.bare, self.spaced if lead else self.bare)):
-            return both
-        text = lead + piece
         text = self.norm.normalize_str(text) if self.norm else text
         ids = [t.id for part, _ in self.pre.pre_tokenize_str(text) for t in self.model.tokenize(part)]
         return pack(f"<{len(ids)}I", *ids)
 
-    def _spans(self, piece: str) -> bytes:
-        if not piece:
-            return b""
-        word = piece[1:] if piece[0] == " " else piece
-        if word and word.isascii() and self.letter_set.issuperset(word):
-            # The model counts bytes of the mapped word: one a character, but for the mapped space.
-            lead = self.lead[piece[:len(piece) - len(word)]]
-            off = len(lead.encode()) - (len(piece) - len(word))
-            flat = [max(0, x - off) if lead else x - off for t in self.model.tokenize(lead + word.translate(self.letters)) for x in t.offsets]
-            return pack(f"<{len(flat)}i", *flat)
-        return np.array(self.tok.encode(piece, add_special_tokens=False).offsets, dtype="<i4").tobytes()
+    def _span_store(self, lead: str) -> _Store:
+        """Character spans of the tokens of pieces after ``lead``, counted from the lead's start."""
+        def make(piece: str) -> bytes:
+            text = lead + piece
+            if not text:
+                return b""
+            word = text[1:] if text[0] == " " else text
+            if self.plain and word.isascii() and word.isalpha():
+                # The model counts bytes of the mapped word: one a character, but for the mapped space.
+                mapped = self.lead[text[:len(text) - len(word)]]
+                off = len(mapped.encode()) - (len(text) - len(word))
+                flat = [x - off for t in self.model.tokenize(mapped + self.plain(word)) for x in t.offsets]
+                if mapped:
+                    flat[0] = 0
+                return pack(f"<{len(flat)}i", *flat)
+            if word.isalpha() and self.letter_set.issuperset(word):
+                # A token that holds part of a character's bytes spans the whole character.
+                before = len(text) - len(word)
+                mapped = self.lead[text[:before]]
+                at = [0] * len(mapped.encode()) + [i for i, c in enumerate(word, before) for _ in range(self.widths[c])]
+                flat = [x for t in self.model.tokenize(mapped + word.translate(self.letters)) for a, b in (t.offsets,) for x in (at[a], at[b - 1] + 1)]
+                return pack(f"<{len(flat)}i", *flat)
+            if (parts := _MIXED.fullmatch(word)) and self.letter_set.issuperset(parts[1]):
+                own = len(text) - len(parts[2])
+                rest = self.spans_bare[parts[2]]
+                return store[piece[:len(piece) - len(parts[2])]] + pack(f"<{len(rest) // 4}i", *[x + own for x in unpack(f"<{len(rest) // 4}i", rest)])
+            return np.array(self.tok.encode(text, add_special_tokens=False).offsets, dtype="<i4").tobytes()
+
+        store = _Store(make)
+        return store
 
     def ids(self, text: str) -> bytes:
         """All ids of ``text`` as little-endian unsigned 32-bit integers."""
