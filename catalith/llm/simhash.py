@@ -15,7 +15,7 @@ stars are those of the links.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -309,9 +309,9 @@ def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` with the row of the smallest key of each component; of rows that repeat it, one."""
-    table = materialize(near_groups(docs, key), "near")
+def keep_one(docs: DataFrame, key: str = "doc_id", groups: Callable[[DataFrame, str], DataFrame] = near_groups) -> DataFrame:
+    """``docs`` with the row of the smallest key of each component of ``groups``; of rows that repeat it, one."""
+    table = materialize(groups(docs, key), "near")
     stays = F.col("k").eqNullSafe(F.col("component"))
     gone = table.filter(~stays).select(F.col("k").alias("_k"), F.col("h").alias("_h")).distinct()
     tagged = docs.withColumn("_catalith_h", text_hash(F.col("text")))
