@@ -5,7 +5,9 @@ counts once (its copies link to each other without comparison).  Each tree split
 recursively at the median of a random projection; vectors near the split go to both
 sides (spill).  Directions come from a hash of (tree, node); the medians and spill
 margins are fitted on a bounded sample (``SAMPLE`` vectors), and every vector is
-routed.  Levels follow from the row count, and trees from the levels, so that a pair
+routed.  Where linked vectors of the sample make up much of a node (noisy copies of one
+vector), a median would part them however close they are: the split is moved beside
+them, and a node that cannot be split without parting them stays one leaf.  Levels follow from the row count, and trees from the levels, so that a pair
 at the threshold shares a leaf in some tree with probability ``RECALL``.
 
 Within a leaf all vectors are compared, in blocks: a leaf of more than ``BLOCK``
@@ -38,6 +40,10 @@ SAMPLE, LEAF, BLOCK = 20_000, 384, 1024
 SPILL = 0.12
 #: Chance that a pair at the threshold is parted by one split (angle / pi, less the spill).
 PARTED = 0.11
+#: A group is some linked sample vectors at least, with so many links of each; the share of a node that makes it large there.
+GROUP, LINKS, SHARE = 8, 8, 0.25
+#: Quantiles to split at, tried in this order.
+PLACES = (0.5, 0.42, 0.58, 0.35, 0.65, 0.28, 0.72, 0.2, 0.8, 0.12, 0.88)
 SEED = 7
 
 
@@ -54,22 +60,60 @@ def direction(tree: int, node: int, dim: int) -> np.ndarray:
     return np.random.default_rng((SEED, tree, node)).standard_normal(dim)
 
 
-def fit(sample: np.ndarray, levels: int, trees: int, spill: float = SPILL) -> np.ndarray:
+def dense_groups(sample: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """Group of every sample vector (-1: none of ``GROUP`` linked vectors or more) and some links ``(n, 2)`` within groups."""
+    rng, x = np.random.default_rng(SEED), sample.astype(np.float32)
+    forest, links = Forest(len(x)), [np.zeros((0, 2), dtype=np.int64)]
+    for s in range(0, len(x), 512):
+        near = x[s:s + 512] @ x.T >= threshold
+        near[np.arange(len(near)), np.arange(s, s + len(near))] = False
+        i, j = np.nonzero(near)
+        forest.link(i + s, j)
+        n = np.bincount(i, minlength=len(near))
+        some = np.flatnonzero(n)
+        at = (np.cumsum(n) - n)[some, None] + (rng.random((len(some), LINKS)) * n[some, None]).astype(np.int64)
+        links.append(np.column_stack([np.repeat(some + s, LINKS), j[at.ravel()]]))
+    _, label, size = np.unique(forest.roots(), return_inverse=True, return_counts=True)
+    label = np.where(size[label] >= GROUP, label, -1)
+    pairs = np.concatenate(links)
+    return label, pairs[label[pairs[:, 0]] >= 0]
+
+
+def cut(x: np.ndarray, label: np.ndarray, a: np.ndarray, b: np.ndarray, owner: np.ndarray, spill: float) -> tuple[float, float]:
+    """Split points of projections ``x``: about the median, moved where that parts a group which makes up much of the node.
+
+    ``a``, ``b``: projections of both ends of links, ``owner``: their groups.  Infinite
+    (all go left, the node stays whole) when every place parts such a group too often.
+    """
+    large = np.flatnonzero(np.bincount(label[label >= 0]) >= max(GROUP, SHARE * len(x))) if (label >= 0).any() else ()
+    for q in PLACES if len(large) else PLACES[:1]:
+        low, high = np.quantile(x, [q - spill / 2, q + spill / 2])
+        parted = (np.minimum(a, b) < low) & (np.maximum(a, b) > high)
+        if all(parted[owner == g].mean() <= PARTED for g in large if (owner == g).any()):
+            return low, high
+    return np.inf, np.inf
+
+
+def fit(sample: np.ndarray, levels: int, trees: int, spill: float = SPILL, threshold: float = THRESHOLD) -> np.ndarray:
     """Split points ``(trees, nodes, 2)``: vectors below the second go left, above the first right.
 
     Nodes are numbered as in a heap: 1 is the root, 2k and 2k + 1 are the children of k.
+    A node that is to stay whole has infinite split points: all of it goes left, to the last level.
     """
     splits = np.zeros((trees, 1 << levels, 2))
+    label, links = dense_groups(sample, threshold) if levels else (None, None)
     for t in range(trees):
-        inside = {1: np.arange(len(sample))}
+        inside = {1: (np.arange(len(sample)), links)}
         for node in range(1, 1 << levels):
-            rows = inside.pop(node)
+            rows, pairs = inside.pop(node)
             if not len(rows):
-                inside[2 * node] = inside[2 * node + 1] = rows
+                inside[2 * node] = inside[2 * node + 1] = rows, pairs
                 continue
-            x = sample[rows] @ direction(t, node, sample.shape[1])
-            low, high = splits[t, node] = np.quantile(x, [0.5 - spill / 2, 0.5 + spill / 2])
-            inside[2 * node], inside[2 * node + 1] = rows[x <= high], rows[x >= low]
+            d = direction(t, node, sample.shape[1])
+            x, (a, b) = sample[rows] @ d, (sample[pairs] @ d).T
+            low, high = splits[t, node] = cut(x, label[rows], a, b, label[pairs[:, 0]], spill)
+            inside[2 * node] = rows[x <= high], pairs[np.maximum(a, b) <= high]
+            inside[2 * node + 1] = rows[x >= low], pairs[np.minimum(a, b) >= low]
     return splits
 
 
@@ -182,7 +226,7 @@ def _leaf_links(nodes: DataFrame, dim: int, n: int, threshold: float, leaf: int,
     sample = chosen(nodes.select("node", "v"), F.col("node"), SAMPLE).select("v").toPandas()["v"]
     points = _unit(pa.array(list(sample), type=pa.list_(pa.float64())), dim) if len(sample) else np.zeros((0, dim))
     levels, trees = shape(n, len(points), leaf, recall)
-    splits = fit(points, levels, trees)
+    splits = fit(points, levels, trees, threshold=threshold)
     kind, vectors = (nodes.schema[c].dataType.simpleString() for c in ("node", "v"))
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
