@@ -58,6 +58,13 @@ def dense_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "
     )
 
 
+def rank_within(df: DataFrame, group: str, order: Sequence[Column | str], name: str = "rank") -> DataFrame:
+    """Number the rows of each ``group`` 1..n in ``order``, which should end in a unique key; a hot group is no single task."""
+    numbered = dense_row_number(df, [group, *order], "_row").withColumn("_g", F.struct(group))
+    before = numbered.groupBy("_g").agg((F.min("_row") - 1).alias("_before"))
+    return dictionary_join(numbered, before, ["_g"]).withColumn(name, (F.col("_row") - F.col("_before")).cast("int")).drop("_g", "_row", "_before")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan at least one split per core before heavy per-row work.
 

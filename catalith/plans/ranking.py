@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalith.functions.text import fingerprint
-from catalith.layout import dictionary_join
+from catalith.layout import dictionary_join, rank_within
 from catalith.operators import evaluation as ev
 from catalith.operators import retrieval as rt
 from catalith.plans.registry import Tables, query
@@ -91,9 +91,8 @@ def fuse_scores(t: Tables):
 
 def _runs(t: Tables):
     """Documents of each source ranked by length, judged by their labels."""
-    w = Window.partitionBy("source").orderBy(F.desc("n_chars"), "doc_id")
     d = t.documents.select("source", "doc_id", "n_chars")
-    res = d.withColumn("rank", F.row_number().over(w)).filter("rank <= 50").select(
+    res = rank_within(d, "source", [F.desc("n_chars"), "doc_id"]).select(
         F.col("source").alias("query_id"), F.col("doc_id").alias("id"), "rank")
     grade = F.when(F.col("quality") == 0, F.lit(0)).when(F.col("toxic") == 1, F.lit(1)).otherwise(F.lit(3))
     jud = t.labels.join(d, "doc_id").select(F.col("source").alias("query_id"), F.col("doc_id").alias("id"), grade.alias("grade"))
