@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith.functions.text import lead_id
 from catalith.functions.url import host, hostname, reference_kind, stable_url
-from catalith.layout import dictionary_join
+from catalith.layout import dictionary_join, rank_within
 
 # Patterns and stop titles of the registry's classifiers.
 NAVIGATION = "(?i)공공\\s*데이터|데이터셋|데이터\\s*(?:검색|목록|제공)|OPEN\\s*API|오픈\\s*API|개발자|이용안내|이용약관|저작권"
@@ -44,22 +44,33 @@ def is_navigation(label: Column, include: str = NAVIGATION, exclude: str = NOTIC
 
 
 def navigation_candidates(links: DataFrame, service: str, page_url: str, url: str, label: str, position: str,
-                          include: str = NAVIGATION, exclude: str = NOTICE, limit: int = MAX_NAVIGATION) -> DataFrame:
-    """Same-host data links of each service page, one per URL, first ``limit`` shown.
+                          include: str = NAVIGATION, exclude: str = NOTICE, limit: int | None = None,
+                          label_chars: int | None = None) -> DataFrame:
+    """Same-host data links of each service page, one per URL, with rank and whole label.
 
     The place of a URL is its first occurrence and the label its last, as a later
-    repeat of a link replaces the earlier text.  The display limit is a rank per
-    service; nothing else depends on it.
+    repeat of a link replaces the earlier text.  ``limit`` keeps the first links of a
+    service, ``label_chars`` shortens the labels; both are for display.
     """
-    from pyspark.sql import Window
-
     keep = links.filter((host(url) == host(page_url)) & is_navigation(F.col(label), include, exclude))
     per = keep.groupBy(service, stable_url(url).alias("url")).agg(
         F.min(position).alias("first_position"),
-        F.substring(F.max_by(label, position), 1, LABEL_CHARS["navigation"]).alias("label"))
-    w = Window.partitionBy(service).orderBy("first_position")
-    return per.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit).withColumn(
-        "status", F.lit("link_observed_target_not_tested"))
+        F.max_by(label, position).alias("label"))
+    if label_chars is not None:
+        per = per.withColumn("label", F.substring("label", 1, label_chars))
+    if limit is None:
+        ranked = rank_within(per, service, ["first_position", "url"])
+    else:
+        w = Window.partitionBy(service).orderBy("first_position")
+        ranked = per.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+    return ranked.withColumn("status", F.lit("link_observed_target_not_tested"))
+
+
+def navigation_display(links: DataFrame, service: str, page_url: str, url: str, label: str, position: str,
+                       include: str = NAVIGATION, exclude: str = NOTICE) -> DataFrame:
+    """The navigation candidates a service's page shows: the first ``MAX_NAVIGATION``, with shortened labels."""
+    return navigation_candidates(links, service, page_url, url, label, position, include, exclude,
+                                 MAX_NAVIGATION, LABEL_CHARS["navigation"])
 
 
 def lead_merge(candidates: DataFrame, url: str, label: str, page: str, exclude: str = NOTICE) -> DataFrame:
@@ -83,16 +94,18 @@ def lead_members(candidates: DataFrame, url: str, label: str, page: str) -> Data
                              F.col(page).alias("page")).distinct()
 
 
-def host_referrals(links: DataFrame, source: str, source_url: str, url: str, label: str, position: str) -> DataFrame:
-    """First link from each source page to each other host.
+def host_referrals(links: DataFrame, source: str, source_url: str, url: str, label: str, position: str,
+                   label_chars: int | None = None) -> DataFrame:
+    """First link from each source page to each other host, with its whole label (``label_chars`` shortens it for display).
 
     One row per (target host, source).  Services read their referrals through
     their host, so the pairs service x source are never written out.
     """
+    text = F.col(label) if label_chars is None else F.substring(label, 1, label_chars)
     rows = links.select(
         host(url).alias("target_host"), F.col(source).alias("source"), host(source_url).alias("source_host"),
         F.struct(F.col(position).alias("position"), stable_url(url).alias("link_url"),
-                 F.substring(label, 1, LABEL_CHARS["referral"]).alias("link_label")).alias("_l"))
+                 text.alias("link_label")).alias("_l"))
     rows = rows.filter((F.col("target_host") != "") & (F.col("target_host") != F.col("source_host")))
     return rows.groupBy("target_host", "source", "source_host").agg(F.min("_l").alias("_l")).select(
         "target_host", "source", "source_host", "_l.link_url", "_l.link_label")

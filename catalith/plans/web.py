@@ -96,7 +96,7 @@ def html_text(t: Tables):
   r AS (SELECT *, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first_position) AS INTEGER) AS rank FROM per)
   SELECT page_id, url, first_position, label, rank FROM r WHERE rank <= 24""")
 def nav_candidates(t: Tables):
-    return rg.navigation_candidates(links(t), "page_id", "page_url", "url", "label", "position", INCLUDE, EXCLUDE).drop("status")
+    return rg.navigation_display(links(t), "page_id", "page_url", "url", "label", "position", INCLUDE, EXCLUDE).drop("status")
 
 
 @query("q23_lead_merge", f"""WITH {LINKS} SELECT 'lead-' || substr(sha256(url), 1, 12) AS id, url, count(DISTINCT label) AS labels,
