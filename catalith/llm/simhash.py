@@ -4,7 +4,7 @@ Only distinct fingerprints take part, so a text that makes up a third of the inp
 counts once.  The join walks pairs of trie nodes together from the root, adds a bit
 whenever a pair takes different branches, and drops the pair once the bits exceed
 the budget.  It starts on the driver over the trie cut at nodes of about ``leaf``
-fingerprints (their counts only: a bounded table), which gives the pairs of leaves
+fingerprints (their counts only, ``TABLE`` at a time), which gives the pairs of leaves
 that can hold links; each pair is one task's group, where the walk goes on down to
 single fingerprints.  A node with many fingerprints is cut deeper before that, so a
 dense spot of the space is spread like any other.
@@ -32,8 +32,8 @@ from catalith.llm.registry import query
 BITS, BUDGET, WORDS = 64, 2, 3
 #: Fingerprints in a leaf of the cut trie, and the most leaves a table without dense spots gets.
 LEAF, LEAVES = 2048, 1 << 14
-#: Bits by which the cut goes deeper at a time; the driver gets 2**STEP counts per node still too full.
-STEP = 12
+#: Most bits by which the cut goes deeper at a time, and most counts the driver gets for that.
+STEP, TABLE = 12, 1 << 17
 #: Node pairs or candidate pairs a task holds at once.
 AT_ONCE = 1 << 20
 
@@ -171,12 +171,16 @@ class Forest:
 
 
 def cut_trie(nodes: DataFrame, leaf: int, step: int = STEP) -> list[tuple[int, int]]:
-    """The cut as ``(prefix, depth)``, in order, covering all fingerprints; nodes below hold ``leaf`` or about."""
+    """The cut as ``(prefix, depth)``, in order, covering all fingerprints; nodes below hold ``leaf`` or about.
+
+    The more nodes are still too full, the fewer bits a round goes deeper: it collects
+    ``TABLE`` counts at most (at most ``LEAVES`` nodes can be too full, as ``leaf`` grows with the input).
+    """
     cut: list[tuple[int, int]] = []
     open_: list[int] = [0]  # prefixes of length ``depth`` that hold too many
     depth = 0
     while open_:
-        deep = min(BITS, depth + step)
+        deep = min(BITS, depth + max(1, min(step, (TABLE // len(open_)).bit_length() - 1)))
         shift = BITS - deep
         prefix = F.shiftrightunsigned("fp", shift) if shift else F.col("fp")
         rows = nodes
