@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm.common import stored, whole
+from catalith.llm.common import stored
 from catalith.llm.registry import query
 from catalith.llm.segments import encoder
 
@@ -179,4 +179,5 @@ def packed_documents(docs: DataFrame) -> DataFrame:
 
 @query("op5_packing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
-    return packed_documents(whole(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id", "text"))
+    # Not dealt over the cores: that would scatter neighbours of a table with few splits.
+    return packed_documents(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text"))
