@@ -7,7 +7,7 @@ import importlib
 from catalith.llm.registry import ORACLES, QUERIES
 
 _MODULES = ("toxicity", "byte_bpe", "simhash", "embedding_dups", "packing", "token_counts", "language",
-            "token_files", "sharding", "exact_dedup", "pipeline_query")
+            "token_files", "sharding", "exact_dedup", "hard_negatives", "secrets", "spelling", "pipeline_query")
 
 
 def queries() -> dict:
