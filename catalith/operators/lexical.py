@@ -198,31 +198,38 @@ def match_items(items: DataFrame, aliases: DataFrame, rules: Sequence[ScopeRule]
         "_label_any", "_label_narrow", "_name_en_any", "_name_en_narrow", "_unit")
 
 
-def mappings(matched: DataFrame, key: str = "id") -> DataFrame:
-    """(item, concept) pairs, each a candidate awaiting human review."""
-    return matched.select(F.col(key).alias("item_id"), F.explode("concept_ids").alias("concept_id")).withColumn(
-        "status", F.lit("candidate_pending_human_review")).withColumn("human_approved", F.lit(False))
+def portal_concepts(matched: DataFrame) -> DataFrame:
+    """Occurrences and distinct registrations per portal, concept and item kind."""
+    return concept_counts(matched.select("portal_id", F.explode("concept_ids").alias("concept_id"), "kind", "record_id"))
 
 
-def portal_concepts(matched: DataFrame) -> DataFrame:
-    """Occurrences and distinct registrations per portal, concept and item kind.
+def concept_counts(pairs: DataFrame) -> DataFrame:
+    """``portal_concepts`` from (portal, concept, kind, record) pairs.
 
     Registrations are counted first per (group, record), so a concept holding a
     third of all items is reduced on the map side by record.
     """
-    rows = matched.select("portal_id", F.explode("concept_ids").alias("concept_id"), "kind", "record_id")
-    per_record = rows.groupBy("portal_id", "concept_id", "kind", "record_id").agg(F.count(F.lit(1)).alias("_n"))
+    per_record = pairs.groupBy("portal_id", "concept_id", "kind", "record_id").agg(F.count(F.lit(1)).alias("_n"))
     return per_record.groupBy("portal_id", "concept_id", "kind").agg(
         F.sum("_n").cast("long").alias("occurrences"), F.count("record_id").alias("record_count"))
 
 
 def graph_counts(matched: DataFrame) -> DataFrame:
     """One row of totals: items by kind, mapped items and records, pairs, controls."""
+    return record_totals(record_counts(matched))
+
+
+def record_counts(matched: DataFrame) -> DataFrame:
+    """Counts of each record: items, mapped items, pairs, control fields, items by kind."""
     is_mapped = F.size("concept_ids") > 0
-    per_record = matched.groupBy("record_id").agg(
+    return matched.groupBy("record_id").agg(
         F.count(F.lit(1)).alias("items"), F.count_if(is_mapped).alias("mapped"),
         F.sum(F.size("concept_ids")).alias("pairs"), F.count_if("is_control").alias("controls"),
         *[F.count_if(F.col("kind") == k).alias(k) for k in KINDS])
+
+
+def record_totals(per_record: DataFrame) -> DataFrame:
+    """Totals over ``record_counts``."""
     return per_record.agg(
         F.sum("items").alias("source_items"), *[F.sum(k).alias(f"items_{k}") for k in KINDS],
         F.sum("pairs").alias("lexical_mapping_occurrences"), F.sum("mapped").alias("matched_source_items"),

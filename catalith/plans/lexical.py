@@ -23,14 +23,14 @@ def record_terms(t: Tables):
 @query("q02_alias_match", f"""WITH {m.MATCH} SELECT record_id, kind, evidence_id, CAST(ordinal AS INTEGER) AS ordinal,
   locator, label, concept_id FROM mapped""")
 def alias_match(t: Tables):
-    return m.matched(t).select("record_id", "kind", "evidence_id", "ordinal", "locator", "label",
-                               F.explode("concept_ids").alias("concept_id"))
+    return m.graph(t).items.select("record_id", "kind", "evidence_id", "ordinal", "locator", "label",
+                                   F.explode("concept_ids").alias("concept_id"))
 
 
 @query("q03_portal_concepts", f"""WITH {m.MATCH} SELECT portal_id, concept_id, kind, count(*) AS occurrences,
   count(DISTINCT record_id) AS record_count FROM mapped GROUP BY ALL""")
 def portal_concepts(t: Tables):
-    return lx.portal_concepts(m.matched(t))
+    return m.graph(t).portal_concepts
 
 
 _TERMS = """, terms AS (
@@ -45,17 +45,23 @@ def _terms(t: Tables):
     return lx.item_terms(keyed)
 
 
-@query("q04_term_buckets", f"""WITH {m.ITEMS}{_TERMS} SELECT portal_id, term_role, term, count(*) AS occurrences
+@query("q04_term_buckets", f"""WITH {m.ITEMS}, numbered AS (SELECT *, row_number() OVER (ORDER BY CASE kind WHEN 'catalog_label' THEN 1
+    WHEN 'documented_field' THEN 2 ELSE 3 END, record_id, evidence_id, ordinal NULLS FIRST, locator NULLS FIRST) AS id FROM items),
+  terms AS (
+  SELECT id, record_id, portal_id, CASE WHEN kind = 'catalog_label' THEN role WHEN kind = 'declared_output'
+    THEN 'declared_output_token' WHEN is_control THEN 'documented_control_label' ELSE 'documented_field_label' END AS term_role,
+    term FROM (SELECT *, unnest(list_distinct([x FOR x IN [label, name_en] IF x IS NOT NULL])) AS term FROM numbered)
+  UNION ALL SELECT id, record_id, portal_id, 'documented_unit', unit FROM numbered WHERE unit IS NOT NULL)
+  SELECT portal_id, term_role, term, count(*) AS occurrences, array_to_string((list(record_id ORDER BY id))[1:2], ',') AS examples
   FROM terms GROUP BY ALL""")
 def term_buckets(t: Tables):
-    return lx.term_buckets(_terms(t)).drop("examples")
+    return m.graph(t).terms.withColumn("examples", F.array_join("examples", ","))
 
 
 @query("q05_top_terms", f"""WITH {m.ITEMS}{_TERMS} SELECT portal_id, term_role, term, count(*) AS occurrences FROM terms
   GROUP BY ALL ORDER BY occurrences DESC, portal_id, term_role, term LIMIT 80""")
 def top_terms(t: Tables):
-    counts = _terms(t).groupBy("portal_id", "term_role", "term").agg(F.count(F.lit(1)).alias("occurrences"))
-    return lx.top_terms(counts, 80)
+    return lx.top_terms(m.graph(t).terms.drop("examples"), 80)
 
 
 @query("q06_diverse_sample", f"""WITH {m.MATCH}, m2 AS (SELECT *, CASE kind WHEN 'catalog_label' THEN 1
@@ -68,7 +74,7 @@ def diverse_sample(t: Tables):
 
 
 def _sample(t: Tables):
-    pairs = m.matched(t).withColumn("concept_id", F.explode("concept_ids"))
+    pairs = m.graph(t).items.withColumn("concept_id", F.explode("concept_ids"))
     pairs = pairs.withColumn("branch", F.array_position(F.lit(list(lx.KINDS)), F.col("kind")))
     return lx.diverse_sample(pairs, ["branch", "record_id", "evidence_id", "ordinal", "locator"])
 
@@ -98,14 +104,14 @@ def mapping_proposals(t: Tables):
     count(*) - count(n) AS unmapped_source_items, count(DISTINCT CASE WHEN n IS NOT NULL THEN record_id END) AS matched_records,
     count(*) FILTER (is_control) AS control_fields FROM ranked_items LEFT JOIN per USING (iid)""")
 def graph_counts(t: Tables):
-    return lx.graph_counts(m.matched(t))
+    return m.graph(t).counts()
 
 
 @query("q54_item_ids", f"""WITH {m.ITEMS} SELECT row_number() OVER (ORDER BY CASE kind WHEN 'catalog_label' THEN 1
     WHEN 'documented_field' THEN 2 ELSE 3 END, record_id NULLS FIRST, evidence_id NULLS FIRST, ordinal NULLS FIRST,
     locator NULLS FIRST) AS id, record_id, evidence_id, CAST(ordinal AS INTEGER) AS ordinal, locator FROM items""")
 def item_ids(t: Tables):
-    return lx.number_items(m.items(t)).select("id", "record_id", "evidence_id", "ordinal", "locator")
+    return m.graph(t).items.select("id", "record_id", "evidence_id", "ordinal", "locator")
 
 
 _ORD = """ORDER BY portal_id, record_id, kind, evidence_id, ordinal NULLS FIRST, locator NULLS FIRST"""
@@ -113,7 +119,7 @@ _ORD = """ORDER BY portal_id, record_id, kind, evidence_id, ordinal NULLS FIRST,
 
 def _keyed(t: Tables):
     """Matched items under a textual key instead of a numbered id."""
-    return m.matched(t).withColumn("id", F.concat_ws("|", "kind", "record_id", "evidence_id", F.coalesce(
+    return m.graph(t).items.withColumn("id", F.concat_ws("|", "kind", "record_id", "evidence_id", F.coalesce(
         F.lpad(F.col("ordinal").cast("string"), 6, "0"), F.lit("")), F.coalesce("locator", F.lit(""))))
 
 

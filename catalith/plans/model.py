@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalith.operators import graph_store as gs
 from catalith.operators import lexical as lx
 from catalith.plans.registry import Tables
 from catalith.sources import catalog as ct
@@ -73,6 +74,17 @@ def matched(t: Tables) -> DataFrame:
     return lx.match_items(items(t), vocabulary(t).aliases, RULES)
 
 
+_BUILDS: dict[tuple, gs.GraphStore] = {}
+
+
+def graph(t: Tables) -> gs.GraphStore:
+    """The stored graph over the tables as they are now: built by the first query that asks, read by the others."""
+    key = (t.spark.sparkContext.applicationId, t.version("part"), t.version("lineitem"))
+    if key not in _BUILDS:
+        _BUILDS[key] = gs.build(items(t), vocabulary(t).aliases, RULES)
+    return _BUILDS[key]
+
+
 REC = """rec AS (SELECT 'part-' || p_partkey AS record_id, p_brand AS portal_id, p_name, p_type, p_size,
   split_part(p_name, ' ', 1) AS w0, split_part(p_name, ' ', 2) AS w1, 'ev-' || p_partkey AS evidence_id,
   'https://parts.example.org/item/' || p_partkey || '?brand=' || p_brand AS url FROM part)"""

@@ -377,18 +377,19 @@ def vocabulary_relations(t: Tables):
 
 @query("q175_recompute_matches", f"""WITH {m.MATCH} SELECT count(*) AS stored, CAST(0 AS BIGINT) AS differences FROM mapped""")
 def recompute_matches(t: Tables):
-    """Stored mappings against an independent recomputation by one exploded join."""
-    matched = m.matched(t)
-    key = F.concat_ws("|", "kind", "record_id", "evidence_id", F.col("ordinal").cast("string"), "locator")
-    stored = matched.select(key.alias("item"), F.explode("concept_ids").alias("concept_id"))
+    """The stored mappings and aggregates against a recomputation by one exploded join over the source items."""
+    store = m.graph(t)
+    key = ["kind", "record_id", "evidence_id", "ordinal", "locator", "label", "name_en", "unit", "role"]
+    named = store.items.select(F.col("id").alias("item_id"), F.xxhash64(*key).alias("item"))
     al = m.vocabulary(t).aliases.withColumnRenamed("kind", "ckind")
-    it = m.items(t).filter("not is_control").withColumn("item", key)
-    lab = it.select("item", "kind", "portal_id", F.col("label").alias("own"), F.explode(F.array_compact(F.array("label", "name_en"))).alias("alias"))
+    it = m.items(t).filter("not is_control").withColumn("item", F.xxhash64(*key))
+    own = ["item", "record_id", "portal_id", "kind"]
+    lab = it.select(*own, F.col("label").alias("own"), F.explode(F.array_compact(F.array("label", "name_en"))).alias("alias"))
     a = lab.join(al, "alias").filter("ckind <> 'Unit' and (kind = 'catalog_label' or ckind <> 'Topic')").filter(
-        "not (concept_id = 'dimension:small' and own = 'small' and portal_id <> 'Brand#1')").select("item", "concept_id")
-    u = it.filter("kind = 'documented_field'").withColumn("alias", F.col("unit")).join(al, "alias").filter("ckind = 'Unit'").select("item", "concept_id")
-    inc = it.filter("kind = 'documented_field' and portal_id = 'Brand#2' and name_en = 'O'").select("item", F.lit("measure:open").alias("concept_id"))
-    again = a.unionAll(u).unionAll(inc).distinct()
-    diff = rc.table_difference(stored.distinct(), again).agg(F.lit(0).cast("long").alias("stored"), F.count(F.lit(1)).alias("differences"))
-    both = stored.agg(F.count(F.lit(1)).alias("stored"), F.lit(0).cast("long").alias("differences")).unionByName(diff)
+        "not (concept_id = 'dimension:small' and own = 'small' and portal_id <> 'Brand#1')").select(*own, "concept_id")
+    u = it.filter("kind = 'documented_field'").withColumn("alias", F.col("unit")).join(al, "alias").filter("ckind = 'Unit'").select(*own, "concept_id")
+    inc = it.filter("kind = 'documented_field' and portal_id = 'Brand#2' and name_en = 'O'").select(*own, F.lit("measure:open").alias("concept_id"))
+    again = a.unionAll(u).unionAll(inc).distinct().join(named, "item")
+    diff = store.differences(again).agg(F.lit(0).cast("long").alias("stored"), F.count(F.lit(1)).alias("differences"))
+    both = store.mappings.agg(F.count(F.lit(1)).alias("stored"), F.lit(0).cast("long").alias("differences")).unionByName(diff)
     return both.agg(F.sum("stored").alias("stored"), F.sum("differences").alias("differences"))

@@ -22,6 +22,12 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def version(self, name: str) -> tuple:
+        """Path, length and time of change of the table's files."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}.parquet")
+        listed = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)
+        return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in listed))
+
     def spread(self, name: str) -> DataFrame:
         """The table with a split per core, for queries with heavy per-row work."""
         return spread(getattr(self, name))
