@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.functions import text as tx
@@ -51,6 +52,14 @@ def search_items(
     errors.  A concept filter overrides ``mode``.
     """
     portal, record, basis, q, concept = map(_text, (portal, record, basis, q, concept))
+    check_item_search(portal, record, basis, concept, mode, number, portals, concepts, records)
+    out = items.filter(item_predicate(portal, record, basis, q, concept, mode)).withColumn("semantic_status", semantic_status())
+    return SearchResult(page(out, ["id"], number, GRAPH_PAGE), out, number, GRAPH_PAGE)
+
+
+def check_item_search(portal: str, record: str, basis: str, concept: str, mode: str, number: int, portals: DataFrame | None,
+                      concepts: DataFrame | None, records: DataFrame | None) -> None:
+    """Raise for filters and page numbers that the item search does not know."""
     if mode not in ("mapped", "all") or basis not in ("", *KINDS):
         raise ValueError("invalid graph filter")
     if not 1 <= number <= MAX_GRAPH_PAGE:
@@ -61,23 +70,29 @@ def search_items(
         _require(concepts, "id", concept, "concept")
     if record and records is not None:
         _require(records, "id", record, "record")
-    out = items
+
+
+def item_predicate(portal: str, record: str, basis: str, q: str, concept: str, mode: str) -> Column:
+    """Whether an item matches every given filter; a concept overrides ``mode``."""
+    wanted = [F.lit(True)]
     if portal:
-        out = out.filter(F.col("portal_id") == portal)
+        wanted.append(F.col("portal_id") == portal)
     if record:
-        out = out.filter(F.col("record_id") == record)
+        wanted.append(F.col("record_id") == record)
     if basis:
-        out = out.filter(F.col("kind") == basis)
+        wanted.append(F.col("kind") == basis)
     if q:
-        out = out.filter(tx.contains_literal("label", q) | tx.contains_literal("name_en", q))
+        wanted.append(tx.contains_literal("label", q) | tx.contains_literal("name_en", q))
     if concept:
-        out = out.filter(F.array_contains("concept_ids", concept))
+        wanted.append(F.array_contains("concept_ids", concept))
     elif mode == "mapped":
-        out = out.filter(F.size("concept_ids") > 0)
-    status = F.when(F.size("concept_ids") > 0, F.lit("candidate_pending_human_review")).otherwise(
+        wanted.append(F.size("concept_ids") > 0)
+    return reduce(lambda x, y: x & y, wanted)
+
+
+def semantic_status() -> Column:
+    return F.when(F.size("concept_ids") > 0, F.lit("candidate_pending_human_review")).otherwise(
         F.lit("no_match_to_current_concept_draft"))
-    out = out.withColumn("semantic_status", status)
-    return SearchResult(page(out, ["id"], number, GRAPH_PAGE), out, number, GRAPH_PAGE)
 
 
 def item_counts(records: DataFrame, items: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from catalith.functions import text as tx
@@ -9,6 +11,7 @@ from catalith.layout import dense_row_number
 from catalith.operators import coverage as cv
 from catalith.operators import lexical as lx
 from catalith.operators import search as se
+from catalith.operators import shard_search as sh
 from catalith.plans import model as m
 from catalith.plans.registry import Tables, query
 from catalith.sources import catalog as ct
@@ -145,6 +148,36 @@ def search_page(t: Tables):
     return r.select("id", "label", F.array_join("concept_ids", ",").alias("concept_ids"))
 
 
+_NUMBERED = m.MATCH + """, numbered AS (SELECT *, row_number() OVER (ORDER BY CASE kind WHEN 'catalog_label' THEN 1
+    WHEN 'documented_field' THEN 2 ELSE 3 END, record_id, evidence_id, ordinal NULLS FIRST, locator NULLS FIRST) AS id FROM ranked_items),
+  concepts AS (SELECT iid, string_agg(concept_id, ',' ORDER BY concept_id) AS concept_ids FROM hits GROUP BY iid),
+  full_items AS (SELECT n.*, coalesce(concept_ids, '') AS concept_ids FROM numbered n LEFT JOIN concepts USING (iid))"""
+#: Searches by name: the filters and the page, and the same filters in SQL.
+_SHARD_SEARCHES = {
+    "deep page": ({"mode": "all", "number": 150}, "true"),
+    "deep mapped page": ({"number": 140}, "concept_ids <> ''"),
+    "portal and kind": ({"portal": "Brand#3", "basis": "catalog_label", "mode": "all", "number": 3},
+                        "portal_id = 'Brand#3' AND kind = 'catalog_label'"),
+    "concept in a portal": ({"concept": "entitytype:bolt", "portal": "Brand#2", "number": 2},
+                            "portal_id = 'Brand#2' AND iid IN (SELECT iid FROM hits WHERE concept_id = 'entitytype:bolt')"),
+    "text": ({"q": "BO", "number": 5}, "concept_ids <> '' AND (contains(lower(label), 'bo') OR contains(lower(coalesce(name_en, '')), 'bo'))"),
+    "record": ({"record": "part-7", "mode": "all"}, "record_id = 'part-7'"),
+    "record and concept": ({"record": "part-7", "concept": "measure:r"}, "record_id = 'part-7' AND iid IN (SELECT iid FROM hits WHERE concept_id = 'measure:r')"),
+    "past the end": ({"portal": "Brand#3", "number": 1000000}, "false"),
+}
+_SHARD_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS search, id, label, record_id, concept_ids FROM (SELECT *, row_number() OVER (ORDER BY id) AS place FROM full_items WHERE {where}) "
+    f"WHERE place BETWEEN {24 * f.get('number', 1) - 23} AND {24 * f.get('number', 1)}" for name, (f, where) in _SHARD_SEARCHES.items())
+
+
+@query("q181_shard_search", f"WITH {_NUMBERED} {_SHARD_SQL}")
+def shard_search(t: Tables):
+    found = [sh.search_shards(m.shards(t), **f).rows.select(F.lit(name).alias("search"), "id", "label", "record_id",
+                                                            F.array_join("concept_ids", ",").alias("concept_ids"))
+             for name, (f, _) in _SHARD_SEARCHES.items()]
+    return reduce(lambda a, b: a.unionAll(b), found)
+
+
 @query("q55_search_concept", f"""WITH {_KEYED}, k AS (SELECT count(*) AS total FROM keyed JOIN hits USING (iid)
   WHERE concept_id = 'entitytype:bolt') SELECT total, CAST(ceil(total / 24.0) AS BIGINT) AS pages FROM k""")
 def search_concept(t: Tables):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catalith.operators import graph_store as gs
 from catalith.operators import lexical as lx
+from catalith.operators import shard_search as sh
 from catalith.plans.registry import Tables
 from catalith.sources import catalog as ct
 from catalith.sources.vocabulary import Vocabulary, concept_vocabulary
@@ -85,6 +86,17 @@ def graph(t: Tables) -> gs.GraphStore:
     return _BUILDS[key]
 
 
+_SHARDS: dict[str, sh.Shards] = {}
+
+
+def shards(t: Tables) -> sh.Shards:
+    """The stored graph's items published in shards of 20,000 ids, once a build."""
+    store = graph(t)
+    if store.path not in _SHARDS:
+        _SHARDS[store.path] = sh.publish(store.items, f"{store.path}/shards", 20_000)
+    return _SHARDS[store.path]
+
+
 REC = """rec AS (SELECT 'part-' || p_partkey AS record_id, p_brand AS portal_id, p_name, p_type, p_size,
   split_part(p_name, ' ', 1) AS w0, split_part(p_name, ' ', 2) AS w1, 'ev-' || p_partkey AS evidence_id,
   'https://parts.example.org/item/' || p_partkey || '?brand=' || p_brand AS url FROM part)"""
