@@ -30,7 +30,11 @@ from catalith.llm.registry import query
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
            # Else every partition's store reserves megabytes for files that stay small.
-           "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
+           "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+           # All stores of an executor share one bound, and go when their batch is written: there is one a partition.
+           "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+           "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+           "spark.sql.streaming.stateStore.unloadOnCommit": "true"}
 #: Hits compared with one copy of a staying text.
 HITS_PER_COPY = 1000
 

@@ -21,7 +21,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.durable import materialize
@@ -31,8 +31,10 @@ from catalith.llm.simhash import Forest, shingle_hashes
 
 WORDS, LEAST = 5, 0.8
 BANDS, ROWS = 24, 6
-#: Members of a bucket compared in one group and side.
-BLOCK = 256
+#: Members of a bucket, and characters of their texts, compared in one group and side.
+BLOCK, BLOCK_CHARS = 256, 4 << 20
+#: Pairs that share one copy of the text of a bucket's smallest member.
+PAIRS_PER_COPY = 1000
 #: Rows of two texts each, or of one, handed to a Python worker at once.
 PAIRS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
 
@@ -128,8 +130,13 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
 
     pairs = placed.filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
     pairs = materialize(pairs, "pairs")
-    uses = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("u")).join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
-    both = attach(pairs, materialize(uses, "firsts"), "b", "u").join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")
+    # A first that many members share is copied, so its text meets a bounded number of them in one task and none is broadcast.
+    uses = materialize(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("u")), "firsts")
+    copies = F.ceil(F.col("u") / PAIRS_PER_COPY).cast("int")
+    firsts = uses.join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b").select(
+        "b", "tb", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    dealt = attach(pairs, uses, "b", "u").select("a", "b", F.pmod(F.xxhash64("a"), copies).cast("int").alias("copy"))
+    both = dealt.join(firsts, ["b", "copy"]).join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a")
     with settings(docs.sparkSession, PAIRS):
         edges = materialize(_linked(both, words, least), "links")
     more = _within(placed, components(edges), texts, words, least, block)
@@ -145,13 +152,19 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
 def _within(placed: DataFrame, roots: DataFrame, texts: DataFrame, words: int, least: float, block: int) -> DataFrame:
     """Edges between different components of the same bucket; ``placed(bucket, node, first, m)``."""
     # Two members were compared with each other already.
-    rows = placed.filter("m > 2").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    sizes = texts.select("node", F.length("t").alias("chars"))
+    rows = placed.filter("m > 2").join(roots, "node", "left").join(sizes, "node").select(
+        "bucket", "node", "chars", F.coalesce("root", "node").alias("root"))
     rows = materialize(rows, "rooted")
-    parts = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c"))
-    alive = parts.groupBy("bucket").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.max("c").alias("in_main"),
-                                        F.sum("c").alias("m"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    alive = materialize(alive.select("bucket", "main", "m", F.ceil(F.col("in_main") / block).cast("int").alias("mains"),
-                                     F.ceil((F.col("m") - F.col("in_main")) / block).cast("int").alias("rests")), "alive")
+    parts = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("chars").alias("chars"))
+    alive = parts.groupBy("bucket").agg(F.max(F.struct("c", "root", "chars")).alias("main"), F.sum("c").alias("m"), F.sum("chars").alias("chars"),
+                                        F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+
+    def blocks(members: Column, chars: Column) -> Column:
+        return F.greatest(F.ceil(members / block), F.ceil(chars / BLOCK_CHARS)).cast("int")
+
+    alive = materialize(alive.select("bucket", F.col("main.root").alias("main"), "m", blocks(F.col("main.c"), F.col("main.chars")).alias("mains"),
+                                     blocks(F.col("m") - F.col("main.c"), F.col("chars") - F.col("main.chars")).alias("rests")), "alive")
     own = F.pmod(F.xxhash64("node"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("mains"))).cast("int")
     dealt = attach(rows, alive, "bucket", "m").withColumn("rest", F.col("root") != F.col("main")).withColumn("own", own)
     # Blocks off the main component meet each other and every block of it; lo < 0 counts the latter's blocks.

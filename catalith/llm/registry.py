@@ -31,3 +31,6 @@ def on_workers(spark: SparkSession) -> None:
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+    # Memory that a batch no longer needs goes back at once: workers live on from stage to stage.
+    for name, value in (("ARROW_DEFAULT_MEMORY_POOL", "system"), ("MALLOC_ARENA_MAX", "2"), ("MALLOC_TRIM_THRESHOLD_", "1048576")):
+        spark.sparkContext.environment.setdefault(name, value)

@@ -1,4 +1,8 @@
-"""Encoding of whole texts by a tokenizer file, piece by piece with a bounded memory.
+"""Encoding of whole texts by a tokenizer file.
+
+A byte-level file whose ids count up in the order of its merges is a table of ranks: the
+tiktoken library then encodes whole texts with the file's own split pattern, and no piece is
+kept.  Spans, and ids of other files, are made piece by piece with a bounded memory.
 
 Both pre-tokenizers used here never match across a single space that stands
 between two other characters, so the pieces on either side of it encode alone.
@@ -9,6 +13,7 @@ are forgotten, which changes no result.
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 from functools import lru_cache
@@ -27,6 +32,67 @@ _MIXED = re.compile(r"([^\W\d_]+)([!-/:-@\[-^`{-~].*)", re.DOTALL)
 _FORMATS = [f"<{n}I" for n in range(32)]
 
 
+#: Fixed value: the split pattern of byte-level pre-tokenizers, without needless backtracking.
+_BYTE_LEVEL = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+#: Bytes of lower-case Latin letters, and the byte that stands for each at the end of a word.
+_LATIN = [*range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xCA)]
+_LAST = {b: b + 128 if b < 0x80 else b - 128 for b in _LATIN if b < 0xC0}
+
+
+def _byte_letters() -> dict[str, int]:
+    """The character that byte-level vocabularies write for each byte: itself if visible, else the next from 256 up."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {chr(b): b for b in visible} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+def _ranked(model: dict) -> list[tuple[str, str]] | None:
+    """The merges of a BPE model if its ids count up in their order, each giving another token; then lower ids merge first."""
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    ids = [model["vocab"].get(a + b, -1) for a, b in merges]
+    plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    counts_up = len(set(ids)) == len(ids) and ids == sorted(ids) and -1 not in ids
+    return merges if model["type"] == "BPE" and plain and counts_up else None
+
+
+def _whole_texts(spec: dict):
+    """tiktoken over the ranks of a byte-level file; None for other files."""
+    merges, pre = _ranked(spec["model"]), spec.get("pre_tokenizer") or {}
+    asked = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    if merges is None or spec.get("normalizer") or spec["model"].get("end_of_word_suffix") or any(pre.get(k) != v for k, v in asked.items()):
+        return None
+    import tiktoken
+
+    letters, vocab = _byte_letters(), spec["model"]["vocab"]
+    made = [*letters, *(a + b for a, b in merges)]
+    if any(t not in vocab for t in made):
+        return None
+    return tiktoken.Encoding("byte-level", pat_str=_BYTE_LEVEL, mergeable_ranks={bytes(map(letters.get, t)): vocab[t] for t in made}, special_tokens={})
+
+
+def _lower_words(spec: dict):
+    """Ids of words of lower-case Latin letters (as UTF-8) by the ranks of a file with word ends; None for other files.
+
+    The last byte of a word is another symbol than the same byte inside, so it gets a byte of its own.
+    """
+    merges, end = _ranked(spec["model"]), spec["model"].get("end_of_word_suffix")
+    if merges is None or not end:
+        return None
+    from tiktoken._tiktoken import CoreBPE
+
+    vocab, letters = spec["model"]["vocab"], _byte_letters()
+    written = {b: c for c, b in letters.items()}
+    symbols = {written[b]: bytes([b]) for b in _LATIN} | {written[b] + end: bytes([to]) for b, to in _LAST.items()}
+    for a, b in merges:
+        if a in symbols and b in symbols:
+            symbols[a + b] = symbols[a] + symbols[b]
+    if not symbols.keys() <= vocab.keys():
+        return None
+    encode = CoreBPE({to: vocab[t] for t, to in symbols.items()}, {}, r"\S+").encode_single_piece
+    last = {b: bytes([to]) for b, to in _LAST.items()}
+    return lambda word: encode(word[:-1] + last[word[-1]])
+
+
 class _Store(dict):
     """What ``make`` gives for a piece; pieces not met again for a while go."""
 
@@ -53,6 +119,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        spec = json.loads(self.tok.to_str())
+        self.whole, self.words = _whole_texts(spec), _lower_words(spec)
         self.tok.encode_special_tokens = True
         self.model, self.pre, self.norm = self.tok.model, self.tok.pre_tokenizer, self.tok.normalizer
         #: True if white space leaves no ids, so that runs of separators need no care.
@@ -60,6 +128,11 @@ class Encoder:
         self.letters = self._letters()
         self.letter_set = frozenset(map(chr, self.letters))
         self.widths = {chr(c): len(to.encode()) for c, to in self.letters.items()}
+        bytes_of = _byte_letters()
+        #: Latin letters as one character a byte of what the pre-tokenizer makes of them, where ``words`` knows these bytes.
+        self.latin = {c: made for c, to in self.letters.items() if set(to) <= bytes_of.keys()
+                      for made in ["".join(chr(bytes_of[x]) for x in to)] if set(map(ord, made)) <= set(_LATIN)}
+        self.latin_set = frozenset(map(chr, self.latin))
         self.plain = self._plain()
         self.lead = {"": "", " ": "" if self.drops_space else self.pre.pre_tokenize_str(" a")[0][0][:-1]}
         self.bare = self._id_store("")
@@ -94,9 +167,13 @@ class Encoder:
         its first ASCII punctuation on encode apart.
         """
         tokenize, head, plain, letters, known = self.model.tokenize, self.lead[lead], self.plain, self.letters, self.letter_set
+        words, latin, latins = self.words if self.drops_space else None, self.latin, self.latin_set
 
         def make(piece: str) -> bytes:
             if piece.isalpha():
+                if words and latins.issuperset(piece):
+                    ids = words(piece.translate(latin).encode("latin-1"))
+                    return pack(f"<{len(ids)}I", *ids)
                 if plain and piece.isascii():
                     ids = [t.id for t in tokenize(head + plain(piece))]
                     return pack(_FORMATS[len(ids)] if len(ids) < len(_FORMATS) else f"<{len(ids)}I", *ids)
@@ -151,6 +228,8 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """All ids of ``text`` as little-endian unsigned 32-bit integers."""
+        if self.whole:
+            return self.whole.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
         bare, spaced, parts = self.bare, self.spaced.__getitem__, []
         if self.drops_space:
             return b"".join(map(bare.__getitem__, text.replace("\n", " ").split(" ")))
