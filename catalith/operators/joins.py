@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalith.durable import materialize
 from catalith.layout import dictionary_join
 
 
@@ -76,23 +77,44 @@ def compare_sequences(left: DataFrame, right: DataFrame, pair: Sequence[str], po
     return out.join(only, list(pair)).withColumn("exact_match", F.col("different_positions") == 0)
 
 
+#: Level of intervals without an end: one bin holds all time.
+_OPEN = 63
+
+
 def crosswalk_join(df: DataFrame, crosswalk: DataFrame, code: str, on_date: str) -> DataFrame:
     """Translate codes with the crosswalk row valid on the row's date.
 
-    ``crosswalk(code, target_code, valid_from, valid_to)``; an open end is null.
-    Rows without a valid translation keep a null target and status ``unknown``.
+    ``crosswalk(code, target_code, valid_from, valid_to)``; both ends belong to the interval, an
+    open end is null, a row without a start is never valid.  Rows with one valid translation get it
+    and the status ``match``; with several ``ambiguous``, with none (or a null code or date) ``unknown``.
+
+    A range join by bins: an interval has the level whose bins are just longer than itself, so it
+    lies in two of them at most, and a date is looked up once for every level in use.  Each distinct
+    (code, date) is looked up once, however many rows have it.  Of a code's open intervals only the
+    two that begin first can tell match from ambiguous, so only these are kept.
     """
-    # A code's history is a handful of boundary changes, so it travels as one row.
-    book = crosswalk.groupBy(F.col("code").alias(code)).agg(
-        F.collect_list(F.struct("target_code", "valid_from", "valid_to")).alias("_history"))
-    joined = dictionary_join(df, book, [code], "left")
-    day = F.col(on_date)
-    valid = F.filter("_history", lambda h: (day >= h["valid_from"]) & (h["valid_to"].isNull() | (day <= h["valid_to"])))
-    n = F.coalesce(F.size(valid), F.lit(0))
-    status = F.when(F.col("_history").isNull() | (n == 0), F.lit("unknown")).when(
-        n > 1, F.lit("ambiguous")).otherwise(F.lit("match"))
-    return joined.withColumn("crosswalk_status", status).withColumn(
-        "target_code", F.when(F.col("crosswalk_status") == "match", F.get(valid, F.lit(0))["target_code"])).drop("_history")
+    def micros(c: Column) -> Column:
+        return F.unix_micros(c.cast("timestamp"))
+
+    rows = crosswalk.select(F.col("code").alias("_code"), F.col("target_code").alias("_target"), micros(F.col("valid_from")).alias("_lo"),
+                            micros(F.col("valid_to")).alias("_hi")).filter("_code is not null and _lo is not null and (_hi is null or _hi >= _lo)")
+    closed = rows.filter("_hi is not null").withColumn("_level", F.length(F.bin(F.col("_hi") - F.col("_lo") + 1)))
+    closed = closed.withColumn("_bin", F.explode(F.expr("array_distinct(array(shiftright(_lo, _level), shiftright(_hi, _level)))")))
+    first = Window.partitionBy("_code").orderBy("_lo", "_target")
+    endless = rows.filter("_hi is null").withColumn("_n", F.row_number().over(first)).filter("_n <= 2").drop("_n")
+    endless = endless.withColumn("_level", F.lit(_OPEN)).withColumn("_bin", F.lit(0).cast("long"))
+    book = materialize(closed.unionByName(endless), "crosswalk")
+    # At most 64 of them.
+    levels = [r["_level"] for r in book.select("_level").distinct().collect()]
+    dated = df.withColumn("_code", F.col(code)).withColumn("_day", micros(F.col(on_date)))
+    points = dated.select("_code", "_day").dropna().distinct()
+    asked = points.withColumn("_level", F.explode(F.lit(levels or [_OPEN]).cast("array<int>")))
+    asked = asked.withColumn("_bin", F.expr(f"if(_level = {_OPEN}, 0L, shiftright(_day, _level))"))
+    hits = dictionary_join(asked, book, ["_code", "_level", "_bin"]).filter("_day >= _lo and (_hi is null or _day <= _hi)")
+    found = materialize(hits.groupBy("_code", "_day").agg(F.count(F.lit(1)).alias("_valid"), F.min("_target").alias("_target")), "translated")
+    status = F.when(F.col("_valid") > 1, F.lit("ambiguous")).when(F.col("_valid") == 1, F.lit("match")).otherwise(F.lit("unknown"))
+    joined = dictionary_join(dated, found, ["_code", "_day"], "left").withColumn("crosswalk_status", status)
+    return joined.withColumn("target_code", F.when(F.col("_valid") == 1, F.col("_target"))).drop("_code", "_day", "_valid", "_target")
 
 
 def resolve_references(links: DataFrame, records: DataFrame, url: str, pattern: str, portal: str) -> DataFrame:
@@ -100,13 +122,18 @@ def resolve_references(links: DataFrame, records: DataFrame, url: str, pattern:
 
     ``pattern`` has one group, the dataset key.  A key may belong to several
     registrations; they are counted and the first is shown.  Unresolved links
-    stay, and no identity is asserted.
+    stay, and no identity is asserted.  Links without a key do not join at all, and a
+    key that many links name is spread over several partitions.
     """
     key = F.regexp_extract(url, pattern, 1)
     tagged = links.withColumn("target_key", F.nullif(key, F.lit("")))
     per_key = records.filter(F.col("portal_id") == portal).groupBy(F.col("dataset_key").alias("target_key")).agg(
         F.count(F.lit(1)).alias("target_registrations"), F.min("id").alias("first_target"))
-    return tagged.join(per_key, "target_key", "left").withColumn(
+    named = dictionary_join(tagged.filter("target_key is not null"), materialize(per_key, "references"), ["target_key"], "left")
+    nameless = tagged.filter("target_key is null")
+    for c, kind in per_key.dtypes[1:]:
+        nameless = nameless.withColumn(c, F.lit(None).cast(kind))
+    return named.unionByName(nameless).withColumn(
         "target_registrations", F.coalesce("target_registrations", F.lit(0)).cast("long")).withColumn(
         "resolved", F.col("target_registrations") > 0).withColumn("same_dataset_asserted", F.lit(False))
 
