@@ -9,6 +9,7 @@ readers still get column pruning.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,7 +29,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {_CONF} to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="spark-catalith-", dir="/tmp")
     spark.conf.set(_CONF, root)

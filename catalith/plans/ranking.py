@@ -99,7 +99,7 @@ def _runs(t: Tables):
     return res, jud
 
 
-_EVAL = """res AS (SELECT * FROM (SELECT source AS q, doc_id, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rank FROM documents) WHERE rank <= 50),
+_EVAL = """res AS (SELECT * FROM (SELECT source AS q, doc_id, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rank FROM documents)),
   jud AS (SELECT source AS q, doc_id, CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 3 END AS grade FROM labels JOIN documents USING (doc_id)),
   hit AS (SELECT res.q, res.doc_id, rank, coalesce(grade, 0) AS grade FROM res LEFT JOIN jud ON jud.q = res.q AND jud.doc_id = res.doc_id),
   ideal AS (SELECT q, sum(grade / log2(p + 1)) AS idcg FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY grade DESC, doc_id) AS p FROM jud WHERE grade > 0) WHERE p <= 10 GROUP BY q),

@@ -83,11 +83,26 @@ RECEIPT_SCHEMA = ("id string, requested_url string, final_url string, retrieved_
 
 
 def read_receipts(spark: SparkSession, path: str) -> DataFrame:
-    """Evidence receipts, one JSON object per file or line."""
-    lines = F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "")
-    per_line = F.forall(lines, lambda x: F.trim(x).startswith("{") & F.trim(x).endswith("}"))
-    texts = spark.read.text(path, wholetext=True).select(F.explode(F.when(per_line, lines).otherwise(F.array("value"))).alias("t"))
-    return texts.select(F.from_json("t", RECEIPT_SCHEMA).alias("r")).select("r.*")
+    """Evidence receipts, one JSON object per file or per line.
+
+    A file is one receipt if it is one JSON object and its first line is none by itself; else every
+    line is a receipt.  What does not parse becomes a row of its own whose ``error`` holds the raw
+    text, be it a truncated line among good ones or a file without any receipt; empty files give no row.
+    """
+    def parses(text: Column) -> Column:
+        # Within brackets, so that anything after the object is an error, too.
+        one = F.trim(text).startswith("{") & F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
+        return F.coalesce(one, F.lit(False))
+
+    files = spark.read.text(path, wholetext=True).select("value", F.filter(
+        F.split("value", r"\r?\n"), lambda x: F.trim(x) != "").alias("lines")).filter(F.size("lines") > 0)
+    by_line = parses(F.get("lines", F.lit(0))) | (~parses(F.col("value")) & F.exists("lines", parses))
+    texts = files.select(F.explode(F.when(by_line, F.col("lines")).otherwise(F.array("value"))).alias("t"))
+    read = texts.select(F.from_json("t", RECEIPT_SCHEMA).alias("r"), "t", parses(F.col("t")).alias("ok"))
+    error = F.when(F.col("ok"), F.col("r.error")).otherwise(F.concat(F.lit("unreadable receipt: "), F.col("t")))
+    good = F.when(F.col("ok"), F.col("r"))
+    names = [c.split()[0] for c in RECEIPT_SCHEMA.split(", ")]
+    return read.select(*[error.alias(c) if c == "error" else good[c].alias(c) for c in names])
 
 
 def read_evidence(spark: SparkSession, path: str) -> DataFrame:

@@ -160,3 +160,15 @@ def test_receipts_per_file_and_per_line(spark, tmp_path):
     (tmp_path / "lines.json").write_text('{"id": "a"}\n{"id": "b"}\n')
     (tmp_path / "whole.json").write_text('{\n "id": "c"\n}\n')
     assert sorted(r["id"] for r in definitions.read_receipts(spark, str(tmp_path)).collect()) == ["a", "b", "c"]
+
+
+def test_unreadable_receipts_lose_nothing(spark, tmp_path):
+    files = {"lines": '{"id": "a"}\n{"id": "b", "bytes": 3}\n{"id": "c", "by', "first": '{"id": "x\n{"id": "d"}\n\n', "pretty": '{\n  "id": "e",\n  "status": "{"\n}\n',
+             "two": '{\n "id": "f"\n}\n{\n "id": "g"\n}', "blank": "\n \n", "none": "not json", "own": '{"id": "h", "error": "404"}'}
+    for name, text in files.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    rows = df_.read_receipts(spark, str(tmp_path)).collect()
+    good = {r["id"]: r["error"] for r in rows if r["id"]}
+    assert good == {"a": None, "b": None, "d": None, "e": None, "h": "404"}
+    bad = sorted(r["error"] for r in rows if not r["id"])
+    assert bad == sorted("unreadable receipt: " + t for t in ('{"id": "c", "by', '{"id": "x', files["two"], "not json"))
