@@ -78,13 +78,25 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame
     return in_hot.unionByName(rest)
 
 
-def without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
-    """Rows of ``docs`` minus the pairs (``key``, hash of the text) in ``dropped`` (columns ``_k``, ``_h``)."""
+def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows of ``docs`` minus the pairs (``k``, ``h``: hash of the text) in ``gone``; column names of ``docs`` may be any."""
     tagged = docs.withColumn("_catalith_h", text_hash(F.col("text")))
-    out = dropped.select(F.col("_k").alias("_catalith_k"), F.col("_h").alias("_catalith_d"))
-    hit = (tagged["_catalith_h"] == out["_catalith_d"]) & tagged[key].eqNullSafe(out["_catalith_k"])
+    out = gone.select(F.col("k").alias("_catalith_k"), F.col("h").alias("_catalith_d")).distinct()
+    hit = (F.col("_catalith_h") == F.col("_catalith_d")) & F.col(key).eqNullSafe(F.col("_catalith_k"))
     return tagged.join(out, hit, "left_anti").drop("_catalith_h")
 
 
+def single(docs: DataFrame, twice: DataFrame, same: Column) -> DataFrame:
+    """``docs`` with one row (the least) of those that match the same row of ``twice`` by ``same``.
+
+    ``twice`` names the few rows that repeat, in columns whose names begin with ``_catalith_``.
+    """
+    if twice.isEmpty():
+        return docs
+    row = F.struct(*docs.columns)
+    one = docs.join(twice, same).groupBy(*twice.columns).agg(F.min_by(row, row).alias("_catalith_row")).select("_catalith_row.*")
+    return docs.join(twice, same, "left_anti").unionByName(one)
+
+
 def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from catalith.durable import materialize, scratch_root
 from catalith.layout import dictionary_join
-from catalith.llm.common import ascii_lower, attach, settings, stored, text_hash
+from catalith.llm.common import ascii_lower, attach, settings, single, stored, text_hash, without
 from catalith.llm.registry import query
 
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
@@ -100,22 +100,14 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", state: str
 
 def drop_copies(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` with one row per equal text."""
-    cols = docs.columns
     table = materialize(groups(docs, key), "groups")
-    gone = table.filter(~F.col("k").eqNullSafe(F.col("keep_k"))).select(F.col("k").alias("_k"), F.col("h").alias("_h")).distinct()
-    tagged = docs.withColumn("_catalith_h", text_hash(F.col("text")))
-    hit = (F.col("_catalith_h") == F.col("_h")) & F.col(key).eqNullSafe(F.col("_k"))
-    kept = tagged.join(gone, hit, "left_anti")
+    stays = F.col("k").eqNullSafe(F.col("keep_k"))
+    kept = without(docs, table.filter(~stays), key)
     # Repeats of one identifier and text: rare, so only these rows are grouped.
-    twice = (table.filter(F.col("k").eqNullSafe(F.col("keep_k"))).groupBy("k", "sha").agg(F.count(F.lit(1)).alias("c"))
-             .filter("c > 1").select(F.col("k").alias("_k"), F.col("sha").alias("_s")))
-    twice = materialize(twice, "twice")
-    if twice.isEmpty():
-        return kept.select(*cols)
-    same = (F.sha2(ascii_lower(F.col("text")), 256) == F.col("_s")) & F.col(key).eqNullSafe(F.col("_k"))
-    tied = kept.join(twice, same, "inner")
-    one = tied.groupBy("_k", "_s").agg(F.min_by(F.struct(*cols), F.struct(*cols)).alias("_row")).select("_row.*")
-    return kept.join(twice, same, "left_anti").select(*cols).unionByName(one)
+    twice = (table.filter(stays).groupBy(F.col("k").alias("_catalith_k"), F.col("sha").alias("_catalith_s")).agg(F.count(F.lit(1)).alias("c"))
+             .filter("c > 1").drop("c"))
+    same = (F.sha2(ascii_lower(F.col("text")), 256) == F.col("_catalith_s")) & F.col(key).eqNullSafe(F.col("_catalith_k"))
+    return single(kept, materialize(twice, "twice"), same)
 
 
 SQL = """

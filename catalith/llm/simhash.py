@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalith.durable import materialize
-from catalith.llm.common import attach, stored, text_hash, whole
+from catalith.llm.common import attach, single, stored, text_hash, whole, without
 from catalith.llm.components import components
 from catalith.llm.registry import query
 
@@ -317,17 +317,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", groups: Callable[[DataFrame,
     """``docs`` with the row of the smallest key of each component of ``groups``; of rows that repeat it, one."""
     table = materialize(groups(docs, key), "near")
     stays = F.col("k").eqNullSafe(F.col("component"))
-    gone = table.filter(~stays).select(F.col("k").alias("_k"), F.col("h").alias("_h")).distinct()
-    tagged = docs.withColumn("_catalith_h", text_hash(F.col("text")))
-    hit = (F.col("_catalith_h") == F.col("_h")) & F.col(key).eqNullSafe(F.col("_k"))
-    kept = tagged.join(gone, hit, "left_anti")
-    twice = materialize(table.filter(stays).groupBy("component").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "twice")
-    if twice.isEmpty():
-        return kept.select(*docs.columns)
-    same = F.col(key).eqNullSafe(F.col("component"))
-    one = kept.join(twice, same).groupBy("component").agg(
-        F.min_by(F.struct(*docs.columns), F.struct(*docs.columns)).alias("_row")).select("_row.*")
-    return kept.join(twice, same, "left_anti").select(*docs.columns).unionByName(one)
+    kept = without(docs, table.filter(~stays), key)
+    twice = table.filter(stays).groupBy(F.col("component").alias("_catalith_k")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    return single(kept, materialize(twice, "twice"), F.col(key).eqNullSafe(F.col("_catalith_k")))
 
 
 @query("op3_simhash")
