@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,10 +47,10 @@ def release(spark: SparkSession) -> int:
     return done
 
 
-def materialize(df: DataFrame, tag: str = "t") -> DataFrame:
-    """Write ``df`` once and return a reader over the written files."""
+def materialize(df: DataFrame, tag: str = "t", by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once and return a reader over the written files, in folders by the columns ``by``."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
+    df.write.mode("errorifexists").option("compression", "snappy").partitionBy(*by).parquet(path)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalith.functions.text import fingerprint
 from catalith.layout import dictionary_join, rank_within
 from catalith.operators import evaluation as ev
+from catalith.operators import pruned_knn as pk
 from catalith.operators import retrieval as rt
 from catalith.plans.registry import Tables, query
 
@@ -226,3 +227,13 @@ def retrieval_log(t: Tables):
     d = t.documents.select(F.col("source").alias("query_id"), F.col("source").alias("query_text"), F.col("doc_id").alias("id"),
                            F.col("n_chars").cast("int").alias("rank"), F.lit(0.5).alias("score"), F.col("lang").alias("filter_state"))
     return ev.retrieval_log(d, "0.5").drop("score", "logged_at")
+
+
+@query("q182_pruned_knn", """WITH n AS (SELECT a.vec_id AS query_id, b.vec_id AS id, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s
+    FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0),
+  r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, id) AS INTEGER) AS rank FROM n)
+  SELECT query_id, id, round(s, 6) AS score, rank FROM r WHERE rank <= 10""")
+def pruned_knn(t: Tables):
+    corpus = _corpus(t)
+    asked = corpus.filter(F.col("id") % 100 == 0).withColumnRenamed("id", "query_id")
+    return pk.pruned_knn(asked, pk.build_cells(corpus), 10).rows.withColumn("score", F.round("score", 6))
