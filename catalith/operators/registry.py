@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalith.functions.text import lead_id
 from catalith.functions.url import host, hostname, reference_kind, stable_url
-from catalith.layout import dictionary_join, rank_within
+from catalith.layout import dense_row_number, dictionary_join, rank_within
 
 # Patterns and stop titles of the registry's classifiers.
 NAVIGATION = "(?i)공공\\s*데이터|데이터셋|데이터\\s*(?:검색|목록|제공)|OPEN\\s*API|오픈\\s*API|개발자|이용안내|이용약관|저작권"
@@ -74,7 +74,7 @@ def navigation_display(links: DataFrame, service: str, page_url: str, url: str,
 
 
 def lead_merge(candidates: DataFrame, url: str, label: str, page: str, exclude: str = NOTICE) -> DataFrame:
-    """One lead per URL with counts of its labels and pages; notices last.
+    """One lead per URL with counts of its labels and pages, in no order (see ``review_queue``).
 
     ``likely_notice`` holds only when every label is a notice label.  The label
     and evidence lists stay in ``lead_members`` so that a link on every page of
@@ -88,6 +88,33 @@ def lead_merge(candidates: DataFrame, url: str, label: str, page: str, exclude:
         F.lit("navigation_candidate").alias("status"))
 
 
+def review_queue(leads: DataFrame) -> DataFrame:
+    """Adds ``place``, the lead's number in the review queue: notices last, then by URL.
+
+    A lead without any known label counts as no notice.
+    """
+    late = F.coalesce("likely_notice", F.lit(False))
+    return dense_row_number(leads, [late, "url"], "place")
+
+
+def service_hosts(services: DataFrame, service: str, requested_url: str, final_url: str) -> DataFrame:
+    """Distinct (target_host, service_id): a service answers at the host it was asked at and at the one it led to."""
+    at = services.select(F.explode(F.array_distinct(F.array(
+        host(requested_url), host(F.coalesce(final_url, requested_url))))).alias("target_host"), F.col(service).alias("service_id"))
+    return at.filter(F.col("target_host") != "").distinct()
+
+
+def lead_services(leads: DataFrame, hosts: DataFrame) -> DataFrame:
+    """Leads with their host, the number of known services there and the first of them.
+
+    ``hosts`` is the result of ``service_hosts`` and keeps the whole lists: a lead reads its services through its
+    host, so the pairs lead x service are never written out.
+    """
+    per = hosts.groupBy("target_host").agg(F.count("service_id").alias("services"), F.min("service_id").alias("first_service"))
+    out = dictionary_join(leads.withColumn("target_host", host("url")), per, ["target_host"], "left")
+    return out.withColumn("services", F.coalesce("services", F.lit(0)).cast("long"))
+
+
 def lead_members(candidates: DataFrame, url: str, label: str, page: str) -> DataFrame:
     """Distinct (lead, label, page) rows behind the leads."""
     return candidates.select(lead_id(stable_url(url)).alias("id"), F.col(label).alias("label"),

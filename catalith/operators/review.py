@@ -25,6 +25,13 @@ TRANSITIONS: Mapping[str, tuple[str, ...]] = {
 }
 APPROVAL_FIELDS = ("reviewer_id", "reviewed_at", "proposal_fingerprint", "evidence_snapshots", "review_method",
                    "applicability_scope", "decision_rationale")
+# What an approval of these kinds of relation states besides.
+EXTRA_FIELDS = {
+    "statistical_relation": ("analysis_run_id", "input_versions", "variable_definitions", "sample_size", "preprocessing",
+                             "code_hash", "result", "uncertainty", "limitations"),
+    "semantic_topic": ("metadata_version", "concept_version", "embedding_model_version", "field_scores",
+                       "evaluation_set_version", "applicability_scope"),
+}
 REVIEW_FIELDS = ("status", "reviewer", "reviewed_at", "decision", "rationale", "evidence_refs", "scope_conditions")
 
 
@@ -117,10 +124,25 @@ def invalidate(approvals: DataFrame, current: DataFrame, compare: Sequence[str])
             F.col("state")).alias("state_now"), F.array_compact(F.array(*reasons)).alias("triggers"))
 
 
-def approval_valid(reviews: DataFrame, actor: str = "actor_kind") -> DataFrame:
-    """Adds ``missing_fields`` and ``valid``: complete and decided by a person."""
-    missing = F.array_compact(F.array(*[
-        F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""), F.lit(c)) for c in APPROVAL_FIELDS]))
+def approval_valid(reviews: DataFrame, actor: str = "actor_kind", kind: str | None = None) -> DataFrame:
+    """Adds ``missing_fields`` and ``valid``: complete and decided by a person.
+
+    ``kind`` names the column with the kind of relation; a kind in ``EXTRA_FIELDS`` must state those fields, too.
+    A field without a column is missing from every row that needs it; empty lists count as missing.
+    """
+    types = dict(reviews.dtypes)
+
+    def absent(c: str) -> Column:
+        if c not in types:
+            return F.lit(True)
+        empty = F.size(c) == 0 if types[c].startswith(("array", "map")) else F.col(c).cast("string") == ""
+        return F.col(c).isNull() | empty
+
+    needed = [F.when(absent(c), F.lit(c)) for c in APPROVAL_FIELDS]
+    if kind is not None:
+        for name, fields in EXTRA_FIELDS.items():
+            needed += [F.when((F.col(kind) == name) & absent(c), F.lit(c)) for c in fields if c not in APPROVAL_FIELDS]
+    missing = F.array_compact(F.array(*needed))
     out = reviews.withColumn("missing_fields", missing)
     return out.withColumn("valid", (F.size("missing_fields") == 0) & F.coalesce(F.col(actor) == "human", F.lit(False)))
 

@@ -269,3 +269,29 @@ def attribute_mismatch(t: Tables):
 @query("q113_first_per_key", """SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY 1""")
 def first_per_key(t: Tables):
     return jn.first_per_key(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderkey"])
+
+
+@query("q186_site_rollup", """SELECT o_orderpriority AS site, o_orderstatus AS topic, CAST(grouping(o_orderpriority) + grouping(o_orderstatus) AS INTEGER) AS level,
+  count(*) AS registered_dataset_count, count(s) AS assessed_dataset_count, round(quantile_cont(s, 0.5), 6) AS median_score, min(s) AS min_score, max(s) AS max_score
+  FROM (SELECT *, CASE WHEN o_totalprice > 100000 THEN round(o_totalprice / 100000, 2) END AS s FROM orders) GROUP BY ROLLUP (o_orderpriority, o_orderstatus)""")
+def site_rollup(t: Tables):
+    o = t.orders.select(F.col("o_orderpriority").alias("site"), F.col("o_orderstatus").alias("topic"), F.col("o_orderdate").alias("assessed_at"),
+                        F.when(F.col("o_totalprice") > 100000, F.round(F.col("o_totalprice") / 100000, 2)).alias("overall_score"))
+    return qa.site_summary(o, ("site", "topic"), subtotals=True).select(
+        "site", "topic", F.col("level").cast("int").alias("level"), "registered_dataset_count", "assessed_dataset_count",
+        F.round("median_score", 6).alias("median_score"), "min_score", "max_score")
+
+
+@query("q187_approval_by_kind", """SELECT o_orderkey, o_orderstatus = 'O' AND o_totalprice >= 50000 AS valid,
+  CASE WHEN o_orderstatus = 'F' THEN 'input_versions,variable_definitions,sample_size,preprocessing,code_hash,result,uncertainty,limitations'
+    WHEN o_orderstatus = 'P' THEN concat_ws(',', 'metadata_version,concept_version,embedding_model_version',
+      CASE WHEN o_totalprice < 50000 THEN 'field_scores' END, 'evaluation_set_version') ELSE '' END AS missing FROM orders""")
+def approval_by_kind(t: Tables):
+    rows = t.orders.select(
+        "o_orderkey", F.lit("rev-1").alias("reviewer_id"), F.col("o_orderdate").alias("reviewed_at"), F.lit("fp").alias("proposal_fingerprint"),
+        F.lit("ev").alias("evidence_snapshots"), F.lit("m").alias("review_method"), F.lit("scope").alias("applicability_scope"),
+        F.lit("why").alias("decision_rationale"), F.when(F.col("o_totalprice") >= 50000, F.lit("human")).otherwise(F.lit("ai")).alias("actor_kind"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("statistical_relation")).when(F.col("o_orderstatus") == "P", F.lit("semantic_topic"))
+        .otherwise(F.lit("join")).alias("kind"), F.lit("run-1").alias("analysis_run_id"),
+        F.when(F.col("o_totalprice") >= 50000, F.lit("0.5")).otherwise(F.lit("")).alias("field_scores"))
+    return rv.approval_valid(rows, kind="kind").select("o_orderkey", "valid", F.array_join("missing_fields", ",").alias("missing"))

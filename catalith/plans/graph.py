@@ -182,3 +182,17 @@ def path_breaks(t: Tables):
     last = steps.groupBy("l_orderkey").agg(F.max("target").alias("goal"))
     steps = steps.join(last, "l_orderkey").withColumn("root", F.lit(0))
     return rc.path_breaks(steps, ["l_orderkey"], "root", "goal").select("l_orderkey", "pos")
+
+
+_NAMED = """CASE WHEN x LIKE 'rdf:%' THEN 'http://www.w3.org/1999/02/22-rdf-syntax-ns#' || substr(x, 5) ELSE 'https://x/' || replace(x, '#', '%23') END"""
+
+
+@query("q185_statement_lines", f"""WITH {_CLAIMS}, st AS (SELECT u.s AS s, u.p AS p, u.o AS o FROM (SELECT unnest([
+    {{'s': id, 'p': 'rdf:type', 'o': 'RelationshipClaim'}}, {{'s': id, 'p': 'rdf:subject', 'o': s}}, {{'s': id, 'p': 'rdf:predicate', 'o': p}},
+    {{'s': id, 'p': 'rdf:object', 'o': o}}, {{'s': id, 'p': 'claimStatus', 'o': status}}, {{'s': id, 'p': 'evidence', 'o': evidence_id}}]) AS u FROM claim)
+  UNION ALL SELECT DISTINCT s, p, o FROM claim WHERE status = 'documented')
+  SELECT '<' || {_NAMED.replace("x LIKE", "s LIKE").replace("(x,", "(s,")} || '> <' || {_NAMED.replace("x LIKE", "p LIKE").replace("(x,", "(p,")} || '> '
+    || CASE WHEN p = 'claimStatus' THEN '"' || o || '"' ELSE '<' || {_NAMED.replace("x LIKE", "o LIKE").replace("(x,", "(o,")} || '>' END || ' .' AS line FROM st""")
+def statement_lines(t: Tables):
+    s, p, o = F.col("s"), F.col("p"), F.col("o")
+    return tr.claims_to_triples(claims(t)).select(tr.nt_line(s, p, o, "https://x/", tr.names_resource(p)).alias("line"))

@@ -193,3 +193,20 @@ def registry_summary(t: Tables):
 def site_scan(t: Tables):
     return links(t).filter(rg.is_navigation(F.col("label"), INCLUDE, "^$")).groupBy("page_id").agg(
         F.count(F.lit(1)).alias("candidate_links"))
+
+
+@query("q183_review_queue", f"""WITH {LINKS}, lead AS (SELECT url, bool_and(regexp_matches(label, '{EXCLUDE}')) AS notice FROM link GROUP BY url)
+  SELECT url, notice AS likely_notice, row_number() OVER (ORDER BY notice, url) AS place FROM lead""")
+def review_queue(t: Tables):
+    return rg.review_queue(rg.lead_merge(links(t), "url", "label", "page_id", EXCLUDE)).select("url", "likely_notice", "place")
+
+
+@query("q184_lead_services", f"""WITH {LINKS}, lead AS (SELECT DISTINCT url FROM link),
+  svc AS (SELECT {_sql_host("url")} AS h, count(DISTINCT page_id) AS n, min('svc-' || page_id) AS first FROM pages WHERE page_id % 3 = 0 GROUP BY 1)
+  SELECT 'lead-' || substr(sha256(lead.url), 1, 12) AS id, {_sql_host("lead.url")} AS target_host, coalesce(svc.n, 0) AS services, svc.first AS first_service
+  FROM lead LEFT JOIN svc ON svc.h = {_sql_host("lead.url")}""")
+def lead_services(t: Tables):
+    # Every third page plays a registered service.
+    known = t.pages.filter("page_id % 3 = 0").select(F.concat(F.lit("svc-"), F.col("page_id").cast("string")).alias("service"), "url")
+    leads = rg.lead_merge(links(t), "url", "label", "page_id", EXCLUDE)
+    return rg.lead_services(leads, rg.service_hosts(known, "service", "url", "url")).select("id", "target_host", "services", "first_service")

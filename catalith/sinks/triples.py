@@ -40,15 +40,36 @@ def claims_to_triples(claims: DataFrame, gate: Sequence[str] = ("documented",))
     return reified(claims).unionAll(facts(claims, gate))
 
 
-def nt_line(s: Column, p: Column, o: Column, base: str) -> Column:
-    """One N-Triples line; objects are written as literals."""
+# Namespaces of the prefixes, and the predicates whose objects are texts.
+NAMESPACES = {"rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "skos": "http://www.w3.org/2004/02/skos/core#",
+              "dcat": "http://www.w3.org/ns/dcat#"}
+LITERAL_PREDICATES = ("skos:prefLabel", "skos:altLabel", "claimStatus")
+
+
+def names_resource(p: Column) -> Column:
+    """Whether the object of predicate ``p`` names a resource; every predicate outside ``LITERAL_PREDICATES`` does."""
+    return ~p.isin(*LITERAL_PREDICATES)
+
+
+def nt_line(s: Column, p: Column, o: Column, base: str, resource: Column | None = None) -> Column:
+    """One N-Triples line; the object is a literal except where ``resource`` holds.
+
+    Names of a known prefix stand in its namespace, all others under ``base``.  A null in any part gives null.
+    """
     def iri(c: Column) -> Column:
-        return F.concat(F.lit(f"<{base}"), F.url_encode(c), F.lit(">"))
+        whole = F.concat(F.lit(base), F.url_encode(c))
+        for prefix, space in NAMESPACES.items():
+            whole = F.when(c.startswith(f"{prefix}:"), F.concat(
+                F.lit(space), F.url_encode(F.substring(c, len(prefix) + 2, 1 << 30)))).otherwise(whole)
+        return F.concat(F.lit("<"), whole, F.lit(">"))
 
     esc = F.replace(F.replace(F.replace(F.replace(o, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')),
                               F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
-    return F.concat(iri(s), F.lit(" "), iri(p), F.lit(' "'), esc, F.lit('" .'))
+    text = F.concat(F.lit('"'), esc, F.lit('"'))
+    thing = text if resource is None else F.when(resource, iri(o)).otherwise(text)
+    return F.concat(iri(s), F.lit(" "), iri(p), F.lit(" "), thing, F.lit(" ."))
 
 
 def write_ntriples(triples: DataFrame, path: str, base: str) -> None:
-    triples.select(nt_line(F.col("s"), F.col("p"), F.col("o"), base).alias("value")).write.mode("errorifexists").text(path)
+    s, p, o = F.col("s"), F.col("p"), F.col("o")
+    triples.select(nt_line(s, p, o, base, names_resource(p)).alias("value")).write.mode("errorifexists").text(path)

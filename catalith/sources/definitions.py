@@ -34,6 +34,14 @@ def json_array_length(doc: Column | str, path: str) -> Column:
     return F.size(json_items(doc, path))
 
 
+def definition_heads(docs: DataFrame) -> DataFrame:
+    """One row per readable document, also for those without fields: path, portal_id, dataset_key, dataset_kind."""
+    return docs.filter("error is null").select(
+        "path", json_value("doc", "$.portal_id").alias("portal_id"), json_value("doc", "$.dataset_key").alias("dataset_key"),
+        F.coalesce(json_value("doc", "$.dataset_kind"),
+                   F.when(json_value("doc", "$.portal_id") == "data-go", F.lit("FILE"))).alias("dataset_kind"))
+
+
 def definition_fields(docs: DataFrame) -> DataFrame:
     """Flatten ``fields[]`` of each document with a 1-based ordinal.
 
@@ -73,7 +81,10 @@ def attach_definitions(fields: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def unmatched_documents(fields: DataFrame, records: DataFrame) -> DataFrame:
-    """Documents that match no registration; reported, never dropped silently."""
+    """Documents that match no registration; reported, never dropped silently.
+
+    Given ``definition_heads``, documents without any field are reported as well.
+    """
     matched = attach_definitions(fields, records).select("path").distinct()
     return fields.select("path", "portal_id", "dataset_key").distinct().join(matched, "path", "left_anti")
 

@@ -13,6 +13,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from catalith.operators.review import TRANSITIONS
 
+# Rows of one emitted frame.
+FRAME = 10_000
+
 # Python workers receive these helpers by value (no installed copy needed).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -36,31 +39,42 @@ def dedupe_cache(stream: DataFrame, ts: str, key: str, ttl: str = "24 hours") ->
 def review_state_stream(events: DataFrame, initial: str = "proposed", ttl_ms: int | None = None) -> DataFrame:
     """Stateful review: every event with its state before, after and acceptance.
 
-    ``events(proposal_id, seq, to_state)``.  The state of a proposal is one word,
-    so it stays small however many events a proposal gets.
+    ``events(proposal_id, seq, to_state)``.  The state of a proposal is one word and its last ``seq``, so it stays
+    small however many events a proposal gets.  The events a trigger brings for a proposal are put in order as a
+    whole, over all Arrow frames; the source's trigger limits bound their number.  An event that is not after the
+    last one of its proposal (a null ``seq`` included) came too late: it is rejected with ``late``.  After ``ttl_ms``
+    without events a proposal still in ``initial`` is forgotten; any other state, such as an approval, is kept.
     """
     legal = {a: set(b) for a, b in TRANSITIONS.items()}
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now, last = state.get if state.exists else (initial, None)
         if state.hasTimedOut:
-            state.remove()
+            if now == initial:
+                state.remove()
             return
-        now = state.get[0] if state.exists else initial
-        for pdf in frames:
-            before, after = [], []
-            pdf = pdf.sort_values("seq")
-            for to in pdf["to_state"]:
+        frames = [f for f in frames if len(f)]
+        rows = pd.concat(frames, ignore_index=True).astype({"seq": "Int64"}) if frames else None
+        for at in range(0, len(rows) if frames else 0, FRAME):
+            if at == 0:
+                rows = rows.sort_values("seq", kind="stable", na_position="last")
+            part = rows.iloc[at:at + FRAME]
+            before, after, late = [], [], []
+            for seq, to in zip(part["seq"], part["to_state"], strict=True):
+                missed = seq is pd.NA or (last is not None and seq <= last)
                 before.append(now)
-                now = to if to in legal[now] else now
+                late.append(missed)
+                if not missed:
+                    now, last = (to if to in legal[now] else now), int(seq)
                 after.append(now)
-            yield pd.DataFrame({"proposal_id": key[0], "seq": pdf["seq"].to_numpy(), "to_state": pdf["to_state"].to_numpy(),
+            yield pd.DataFrame({"proposal_id": key[0], "seq": part["seq"].array, "to_state": part["to_state"].array,
                                 "state_before": before, "state_after": after,
-                                "accepted": [a != b for a, b in zip(before, after, strict=True)]})
-        state.update((now,))
+                                "accepted": [a != b for a, b in zip(before, after, strict=True)], "late": late})
+        state.update((now, last))
         if ttl_ms:
             state.setTimeoutDuration(ttl_ms)
 
     kind = dict(events.dtypes)["proposal_id"]
-    schema = f"proposal_id {kind}, seq long, to_state string, state_before string, state_after string, accepted boolean"
+    schema = f"proposal_id {kind}, seq long, to_state string, state_before string, state_after string, accepted boolean, late boolean"
     timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
-    return events.groupBy("proposal_id").applyInPandasWithState(run, schema, "state string", "append", timeout)
+    return events.groupBy("proposal_id").applyInPandasWithState(run, schema, "state string, last long", "append", timeout)
