@@ -4,7 +4,13 @@ Arrivals (digest, identifier, place of the content) stream through one stateful
 aggregation, kept on disk by RocksDB: per digest the number of texts seen and the
 largest identifier with the place of its content.  Spark combines arrivals inside
 each task first, so a text that makes up a third of the input reaches its state as
-one row per task.  A later run on the same ``state`` folder continues from it.
+one row per task.
+
+With a ``state`` folder of its own a later run continues where the last one ended: its arrivals are added to those
+of earlier runs, with their texts, so that the place of a content is a folder that still holds it.  Identifier and
+group size then count all runs, and hits on digests of earlier runs are compared with those texts; the rows returned
+are those of the run.  Identifiers keep their type from run to run; each run takes documents that are new to the
+state, so one that broke off is repeated on a copy of the state from before it.
 
 A digest hit is no proof: the whole text of every row that would go is compared
 with that of the row that stays (a hot text is copied once per thousand hits, so no
@@ -24,7 +30,7 @@ from pyspark.sql import functions as F
 
 from catalith.durable import materialize, scratch_root
 from catalith.layout import dictionary_join
-from catalith.llm.common import ascii_lower, attach, settings, single, stored, text_hash, without
+from catalith.llm.common import BATCH, ascii_lower, attach, settings, single, stored, text_hash, without
 from catalith.llm.registry import query
 
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
@@ -39,11 +45,15 @@ ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
 HITS_PER_COPY = 1000
 
 
-def arrivals(docs: DataFrame, key: str = "doc_id", text: str = "text", digits: int = 64) -> DataFrame:
-    """Digest, identifier and content place of every row; ``digits`` shortens the digest (tests of collisions)."""
+def arrivals(docs: DataFrame, key: str = "doc_id", text: str = "text", digits: int = 64, place: str | None = None) -> DataFrame:
+    """Digest, identifier and content place of every row; ``digits`` shortens the digest (tests of collisions).
+
+    With a ``place`` of its own each row carries the text that the place will hold.
+    """
+    held = [F.lit(place).alias("place"), ascii_lower(F.col(text)).alias("norm")] if place else [F.input_file_name().alias("place")]
     sha = F.sha2(ascii_lower(F.col(text)), 256)
     return docs.select(F.col(key).alias("k"), sha.alias("sha"), F.substring(sha, 1, digits).alias("digest"),
-                       text_hash(F.col(text)).alias("h"), F.input_file_name().alias("place"))
+                       text_hash(F.col(text)).alias("h"), *held)
 
 
 def stream_index(arriving: DataFrame, state: str) -> DataFrame:
@@ -65,22 +75,43 @@ def stream_index(arriving: DataFrame, state: str) -> DataFrame:
         "digest", "n", F.col("keep.k").alias("keep_k"), F.col("keep.place").alias("place"))
 
 
+def _added(docs: DataFrame, state: str, key: str, text: str, digits: int) -> tuple[DataFrame, str]:
+    """Add ``docs`` with their texts to the arrivals of ``state``; this run's rows and the folder of all runs."""
+    folder = f"{state}/arrivals"
+    place = f"{folder}/{uuid.uuid4().hex}"
+    rows = arrivals(docs, key, text, digits, place)
+    with settings(docs.sparkSession, BATCH):
+        rows.write.parquet(place)
+    return docs.sparkSession.read.schema(rows.schema).parquet(place), folder
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", state: str | None = None, digits: int = 64) -> DataFrame:
-    """``(k, h, sha, keep_k, n)`` for every row of ``docs``: its identifier, text hash, digest, who stays, group size."""
+    """``(k, h, sha, keep_k, n)`` for every row of ``docs``: its identifier, text hash, digest, who stays, group size.
+
+    ``state`` names a folder that keeps all runs; without it the state ends with the call.
+    """
     spark = docs.sparkSession
-    state = state or f"{scratch_root(spark)}/dedup-{uuid.uuid4().hex}"
-    seen = stored(arrivals(docs, key, text, digits), "arrivals")
+    if state:
+        seen, folder = _added(docs, state.rstrip("/"), key, text, digits)
+    else:
+        state, seen, folder = f"{scratch_root(spark)}/dedup-{uuid.uuid4().hex}", stored(arrivals(docs, key, text, digits), "arrivals"), None
     source = seen.inputFiles()
     if not source:
         return seen.select("k", "h", "sha", F.col("k").alias("keep_k"), F.lit(1).cast("long").alias("n"))
-    stream = spark.readStream.schema(seen.schema).parquet(source[0].rsplit("/", 1)[0])
+    fields = seen.drop("norm").schema
+    stream = spark.readStream.schema(fields).option("recursiveFileLookup", "true").parquet(folder or source[0].rsplit("/", 1)[0])
     index = materialize(stream_index(stream, state), "index")
     out = attach(seen.select("k", "h", "sha", "digest"), index.select("digest", "n", "keep_k"), "digest", "n")
     out = out.select("k", "h", "sha", "digest", "keep_k", "n")
 
-    norm = docs.select(F.col(key).alias("k"), ascii_lower(F.col(text)).alias("norm"))
-    norm = norm.withColumn("digest", F.substring(F.sha2("norm", 256), 1, digits))
     several = index.filter("n > 1").select("digest", "n", "keep_k")
+    if folder:
+        # The texts of all runs, for the digests this run met.
+        norm = spark.read.schema(seen.schema).option("recursiveFileLookup", "true").parquet(folder).select("k", "norm", "digest")
+        several = several.join(seen.select("digest").distinct(), "digest", "left_semi")
+    else:
+        norm = docs.select(F.col(key).alias("k"), ascii_lower(F.col(text)).alias("norm"))
+        norm = norm.withColumn("digest", F.substring(F.sha2("norm", 256), 1, digits))
     shared = materialize(dictionary_join(norm, several, ["digest"]), "shared")
     copies = F.ceil(F.col("n") / HITS_PER_COPY).cast("int")
     stays = (shared.filter(F.col("k").eqNullSafe(F.col("keep_k")))
