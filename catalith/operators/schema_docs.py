@@ -306,15 +306,8 @@ def _follow_responses(resp: DataFrame, refs: DataFrame) -> tuple[DataFrame, list
             F.array_append("_met", F.col("_ref")).alias("_met"))
 
 
-def openapi_fields(docs: DataFrame, max_depth: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(fields, issues, operations) of the response schemas of OpenAPI documents.
-
-    Schemas unfold level by level: all open schema nodes of all documents take
-    one step per round, references by an equality join with ``document_nodes``.
-    A reference already on a node's own chain is a recursion issue, which ends
-    every chain; dynamic properties, unresolved references and, only when it is
-    given, nodes deeper than ``max_depth`` are issues too.
-    """
+def response_roots(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, list[DataFrame]]:
+    """(nodes by pointer, operations, root schemas of the responses, issues of lost responses)."""
     refs = materialize(document_nodes(docs), "refs").select(
         "path", F.col("pointer").alias("_ref"), F.col("node").alias("_target"))
     ops = openapi_operations(docs)
@@ -332,6 +325,19 @@ def openapi_fields(docs: DataFrame, max_depth: int | None = None) -> tuple[DataF
         json_value("value", "$.schema", "variant").alias("schema"),
         F.concat("locator", F.lit("/content/"), _escape(F.col("key")), F.lit("/schema")).alias("locator"))
     roots = direct.unionByName(typed).filter(_is_object(F.col("schema")))
+    return refs, ops, roots, lost
+
+
+def openapi_fields(docs: DataFrame, max_depth: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(fields, issues, operations) of the response schemas of OpenAPI documents.
+
+    Schemas unfold level by level: all open schema nodes of all documents take
+    one step per round, references by an equality join with ``document_nodes``.
+    A reference already on a node's own chain is a recursion issue, which ends
+    every chain; dynamic properties, unresolved references and, only when it is
+    given, nodes deeper than ``max_depth`` are issues too.
+    """
+    refs, ops, roots, lost = response_roots(docs)
     strings = F.array().cast("array<string>")
     open_nodes = materialize(roots.select(
         "path", "operation", "status", "media", "schema", "locator", strings.alias("names"), strings.alias("chain"),
@@ -340,7 +346,7 @@ def openapi_fields(docs: DataFrame, max_depth: int | None = None) -> tuple[DataF
     fields, issues, depth = [], lost, 0
     while (max_depth is None or depth <= max_depth) and open_nodes.limit(1).count():
         depth += 1
-        step = materialize(_schema_step(open_nodes, refs), "openapi")
+        step = materialize(schema_step(open_nodes, refs), "openapi")
         fields.append(step.filter("outcome = 'field'"))
         issues.append(step.filter("outcome = 'issue'").select("path", "operation", "locator", "reason"))
         open_nodes = step.filter("outcome = 'open'").select(*open_nodes.columns)
@@ -375,7 +381,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _schema_step(nodes: DataFrame, refs: DataFrame) -> DataFrame:
+def schema_step(nodes: DataFrame, refs: DataFrame) -> DataFrame:
     """One unfolding step of every open schema node; outcome is open, field or issue."""
     s = F.col("schema")
     ref = json_value(s, "$['$ref']")
