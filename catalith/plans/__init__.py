@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from catalith.plans.registry import ORACLES, QUERIES
 
-_MODULES = ("lexical", "web", "documents", "graph", "governance", "ranking", "reconciling", "exports")
+_MODULES = ("lexical", "web", "documents", "graph", "governance", "ranking", "reconciling", "exports", "files")
 
 
 def _load() -> None:

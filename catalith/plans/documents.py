@@ -13,6 +13,7 @@ from catalith.functions import metadata as md
 from catalith.functions import text as tx
 from catalith.operators import coverage as cv
 from catalith.operators import schema_docs as sd
+from catalith.operators import shared_schemas as ss
 from catalith.plans.registry import Tables, query
 from catalith.plans.web import _clean, _decode
 from catalith.sources import definitions as df_
@@ -158,6 +159,40 @@ def openapi_operations(t: Tables):
     return o.select("path", "name", "output_fields", "unresolved_schema_parts", "status")
 
 
+def _varied_api_docs(t: Tables):
+    """Schemas that each use the next one twice, at a depth given by the row; some lack a part, some are recursive."""
+    key, depth = F.col("p_partkey").cast("string"), (F.col("p_partkey") % 21).cast("int")
+    below = F.concat(F.lit('{"$ref":"#/components/schemas/S'), F.lit("{}"), F.lit('"}'))
+    links = F.array_join(F.transform(F.sequence(F.lit(0), depth), lambda k: F.concat(
+        F.lit('"S'), k.cast("string"), F.lit('":{"properties":{"l":'), F.replace(below, F.lit("{}"), (k + 1).cast("string")),
+        F.lit(',"r":'), F.replace(below, F.lit("{}"), (k + 1).cast("string")), F.lit("}},"))), "")
+    last = F.concat(F.lit('"S'), (depth + 1).cast("string"), F.lit('":{"properties":{"x":{"type":"string"},"y":{"type":"integer"}'),
+                    F.when(F.col("p_partkey") % 7 == 3, F.lit(',"m":{"$ref":"#/components/schemas/None"}')).otherwise(F.lit("")),
+                    F.when(depth == 1, F.lit(',"up":{"$ref":"#/components/schemas/S0"}')).otherwise(F.lit("")), F.lit("}}"))
+    given = F.array_join(F.transform(F.sequence(F.lit(0), F.col("p_size") % 3), lambda k: F.concat(F.lit('{"name":"a'), k.cast("string"), F.lit('"}'))), ",")
+    body = F.when(F.col("p_size") % 2 == 0, F.lit('"requestBody":{"required":true},')).otherwise(F.lit(""))
+    doc = F.concat(F.lit('{"openapi":"3.0","paths":{"/p/'), key, F.lit('":{"parameters":[{"name":"route"}],"post":{"operationId":"'), F.col("p_name"),
+                   F.lit('","parameters":['), given, F.lit("],"), body, F.lit('"responses":{"200":{"schema":{"$ref":"#/components/schemas/S0"}}}}}},"components":{"schemas":{'),
+                   links, last, F.lit("}}}"))
+    return documents_from_text(t.spread("part").select(key.alias("p"), doc.alias("j")), "p", "j")
+
+
+@query("q188_openapi_counts", """SELECT CAST(p_partkey AS VARCHAR) AS path, 'openapi:POST:/p/' || p_partkey AS operation, p_name AS name,
+  CAST(2 ** (p_partkey % 21 + 2) AS BIGINT) AS output_fields,
+  CAST(2 ** (p_partkey % 21 + 1) * (CASE WHEN p_partkey % 7 = 3 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 21 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS unresolved_schema_parts FROM part""")
+def openapi_counts(t: Tables):
+    return ss.openapi_counts(_varied_api_docs(t)).select("path", "operation", "name", F.col("output_fields").cast("long").alias("output_fields"),
+                                                         F.col("unresolved_schema_parts").cast("long").alias("unresolved_schema_parts"))
+
+
+@query("q189_openapi_parameters", """SELECT CAST(p_partkey AS VARCHAR) AS path, 'openapi:POST:/p/' || p_partkey AS operation, 'request_parameter' AS role,
+    CAST(u.k AS INTEGER) AS ordinal, CASE WHEN u.k = 0 THEN '{"name":"route"}' ELSE '{"name":"a' || (u.k - 1) || '"}' END AS definition
+  FROM part, unnest(range(p_size % 3 + 2)) AS u(k)
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'openapi:POST:/p/' || p_partkey, 'request_body', 0, '{"required":true}' FROM part WHERE p_size % 2 = 0""")
+def openapi_parameters(t: Tables):
+    return sd.openapi_parameters(_varied_api_docs(t)).withColumn("definition", F.to_json("definition"))
+
+
 @query("q74_preview_headers", f"""WITH {_PART} SELECT CAST(p_partkey AS VARCHAR) AS path, w0 AS value, 'listHead[0][0]' AS locator FROM part WHERE p_size > 10
   UNION ALL SELECT CAST(p_partkey AS VARCHAR), w1, 'listHead[0][1]' FROM part WHERE p_size > 10""")
 def preview_headers(t: Tables):

@@ -17,13 +17,14 @@ from catalith.sources.definitions import definition_fields, documents_from_text
 
 
 def append_batches(stream: DataFrame, path: str, checkpoint: str,
-                   prepare: Callable[[DataFrame], DataFrame] | None = None, once: bool = True) -> StreamingQuery:
-    """Write every micro-batch of ``stream`` to ``path/batch=<id>``."""
+                   prepare: Callable[[DataFrame], DataFrame] | None = None, once: bool = True,
+                   mode: str = "append") -> StreamingQuery:
+    """Write every micro-batch of ``stream`` to ``path/batch=<id>``; with ``mode="update"`` the rows it changed."""
     def save(batch: DataFrame, number: int) -> None:
         rows = prepare(batch) if prepare else batch
         rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.outputMode(mode).foreachBatch(save).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
