@@ -3,6 +3,7 @@
 * ``dense_row_number`` numbers rows globally without a one-partition window.
 * ``dictionary_join`` joins a large table to a small one: broadcast when the
   measured size allows it, otherwise a salted shuffle join that splits a hot key.
+* ``shuffle_join`` joins two large tables without a broadcast.
 * ``page`` returns one page of an ordered result without sending everything
   before it through a single task.
 """
@@ -86,6 +87,15 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
     return seen["n"] <= rows and seen["b"] <= size
 
 
+def shuffle_join(big: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join two tables of any size, never by a broadcast.
+
+    Spark broadcasts a side by its stored size; packed columns and exploded rows
+    are many times larger once the driver has them.
+    """
+    return big.join(other.hint("merge"), list(on), how)
+
+
 def dictionary_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
     rows: int = BROADCAST_ROWS, salts: int = SALTS, fits: bool | None = None,
@@ -95,19 +105,22 @@ def dictionary_join(
     Up to ``rows`` rows (and the byte bound) the dictionary is broadcast.  Beyond
     that each
     dictionary row is repeated ``salts`` times and the big side spreads its rows
-    over the salts, so a key holding a third of ``big`` becomes ``salts`` groups.
+    over the salts, so a key holding a third of ``big`` becomes ``salts`` groups;
+    ``salts=1`` leaves a hot key to Spark's skew handling.
     ``how`` may be inner, left, left_semi or left_anti.  ``fits`` passes the
     result of an earlier size check of the same dictionary.
     """
     on = list(on)
     if fits_broadcast(small, rows) if fits is None else fits:
         return big.join(F.broadcast(small), on, how)
+    if salts == 1:
+        return shuffle_join(big, small, on, how)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     # The salt must not change when a lost task runs again, so it is a hash of the
     # row; maps and variants cannot be hashed and are left out of it.
     hashable = [c for c, kind in big.dtypes if "map<" not in kind and "variant" not in kind]
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
-    return salted_big.join(salted, [*on, "_salt"], how).drop("_salt")
+    return shuffle_join(salted_big, salted, [*on, "_salt"], how).drop("_salt")
 
 
 def page(df: DataFrame, order: Sequence[str], number: int, size: int) -> DataFrame:
