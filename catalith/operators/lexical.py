@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from catalith.durable import materialize
 from catalith.functions import text as tx
-from catalith.layout import dense_row_number, dictionary_join, fits_broadcast
+from catalith.layout import dense_row_number, dictionary_join, fits_broadcast, shuffle_join
 from catalith.sources.definitions import json_value
 
 # Item kinds in scan order, control roles and envelope names.
@@ -103,7 +103,7 @@ def documented_field_items(fields: DataFrame, records: DataFrame) -> DataFrame:
         F.col(c) if c in have else F.lit(None).cast("string").alias(c)
         for c in ("name_en", "unit", "evidence_id", "ordinal", "locator", "source_url", "description",
                   "datatype", "role")])
-    out = _items(src.join(rec, "record_id"), "documented_field", label="label", name_en="name_en", unit="unit",
+    out = _items(dictionary_join(src, rec, ["record_id"], salts=1), "documented_field", label="label", name_en="name_en", unit="unit",
                  ordinal="ordinal", locator="locator", source_url="source_url", description="description",
                  datatype="datatype", role="role")
     return out.withColumn("is_control", is_control(F.col("role"), F.col("name_en")))
@@ -112,8 +112,8 @@ def documented_field_items(fields: DataFrame, records: DataFrame) -> DataFrame:
 def declared_output_items(tokens: DataFrame, records: DataFrame) -> DataFrame:
     """One item per declared output token; a candidate label, not a column."""
     rec = records.select(F.col("id").alias("record_id"), "portal_id", "evidence_id", F.col("url").alias("source_url"))
-    t = tokens.filter("role = 'output'").select("record_id", F.col("name").alias("label"), "ordinal").join(
-        rec, "record_id")
+    t = dictionary_join(tokens.filter("role = 'output'").select("record_id", F.col("name").alias("label"), "ordinal"),
+                        rec, ["record_id"], salts=1)
     t = t.withColumn("locator", F.concat(F.lit("stored_fields:role=output;ordinal="), F.col("ordinal").cast("string")))
     t = t.withColumn("role", F.lit("declared_output_token"))
     return _items(t, "declared_output", label="label", ordinal="ordinal", locator="locator",
@@ -265,7 +265,7 @@ def term_buckets(terms: DataFrame, examples: int = 2) -> DataFrame:
              .filter(F.col("_rn") <= examples))
     picked = first.groupBy(*keys).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_rn", "record_id"))), lambda x: x["record_id"]).alias("examples"))
-    return counts.join(picked, keys)
+    return shuffle_join(counts, picked, keys)
 
 
 def top_terms(buckets: DataFrame, k: int = 60, role: str | None = None, q: str | None = None) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalith.layout import dense_row_number
+from catalith.durable import materialize
+from catalith.layout import dense_row_number, dictionary_join, fits_broadcast, shuffle_join
 from catalith.operators import coverage as cv
 from catalith.operators import joins as jn
 from catalith.operators import reconcile as rc
@@ -381,15 +382,18 @@ def recompute_matches(t: Tables):
     store = m.graph(t)
     key = ["kind", "record_id", "evidence_id", "ordinal", "locator", "label", "name_en", "unit", "role"]
     named = store.items.select(F.col("id").alias("item_id"), F.xxhash64(*key).alias("item"))
-    al = m.vocabulary(t).aliases.withColumnRenamed("kind", "ckind")
-    it = m.items(t).filter("not is_control").withColumn("item", F.xxhash64(*key))
-    own = ["item", "record_id", "portal_id", "kind"]
+    al = materialize(m.vocabulary(t).aliases.withColumnRenamed("kind", "ckind"), "aliases")
+    it = materialize(m.items(t).filter("not is_control").select(
+        F.xxhash64(*key).alias("item"), "record_id", "portal_id", "kind", "label", "name_en", "unit"), "candidates")
+    own, fits = ["item", "record_id", "portal_id", "kind"], fits_broadcast(al)
     lab = it.select(*own, F.col("label").alias("own"), F.explode(F.array_compact(F.array("label", "name_en"))).alias("alias"))
-    a = lab.join(al, "alias").filter("ckind <> 'Unit' and (kind = 'catalog_label' or ckind <> 'Topic')").filter(
+    a = dictionary_join(lab, al, ["alias"], fits=fits).filter("ckind <> 'Unit' and (kind = 'catalog_label' or ckind <> 'Topic')").filter(
         "not (concept_id = 'dimension:small' and own = 'small' and portal_id <> 'Brand#1')").select(*own, "concept_id")
-    u = it.filter("kind = 'documented_field'").withColumn("alias", F.col("unit")).join(al, "alias").filter("ckind = 'Unit'").select(*own, "concept_id")
+    u = dictionary_join(it.filter("kind = 'documented_field'").withColumn("alias", F.col("unit")), al, ["alias"], fits=fits).filter(
+        "ckind = 'Unit'").select(*own, "concept_id")
     inc = it.filter("kind = 'documented_field' and portal_id = 'Brand#2' and name_en = 'O'").select(*own, F.lit("measure:open").alias("concept_id"))
-    again = a.unionAll(u).unionAll(inc).distinct().join(named, "item")
+    # Both tables have a row for every item, so neither goes through the driver.
+    again = materialize(shuffle_join(a.unionAll(u).unionAll(inc).distinct(), named, ["item"]), "again")
     diff = store.differences(again).agg(F.lit(0).cast("long").alias("stored"), F.count(F.lit(1)).alias("differences"))
     both = store.mappings.agg(F.count(F.lit(1)).alias("stored"), F.lit(0).cast("long").alias("differences")).unionByName(diff)
     return both.agg(F.sum("stored").alias("stored"), F.sum("differences").alias("differences"))
