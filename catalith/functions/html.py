@@ -26,14 +26,15 @@ def _entity_map() -> Column:
     return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
-def decode_entities(c: Column | str) -> Column:
-    """Replace named and numeric character references."""
+def decode_entities(c: Column | str, bare: bool = True) -> Column:
+    """Replace named and numeric character references; without ``bare`` only those that end in a semicolon."""
     col = _c(c)
     names = _entity_map()
+    end = ";?" if bare else ";"
 
     def one(piece: Column, i: Column) -> Column:
-        name = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);?", 1)
-        whole = F.regexp_extract(piece, "^((?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);?)", 1)
+        name = F.regexp_extract(piece, f"^(#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|[A-Za-z][A-Za-z0-9]*){end}", 1)
+        whole = F.regexp_extract(piece, f"^((?:#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|[A-Za-z][A-Za-z0-9]*){end})", 1)
         code = F.when(name.rlike("^#[xX]"), F.conv(name.substr(3, 8), 16, 10)).when(
             name.startswith("#"), name.substr(2, 8))
         char = F.when(code.isNotNull(), F.decode(F.unhex(F.lpad(F.conv(code, 10, 16), 8, "0")), "UTF-32")).otherwise(
@@ -51,18 +52,18 @@ def visible(html: Column | str) -> Column:
     return F.regexp_replace(_c(html), _HIDDEN, "")
 
 
-def inner_text(fragment: Column) -> Column:
+def inner_text(fragment: Column, bare: bool = True) -> Column:
     """Text of a markup fragment; tag boundaries separate words."""
-    return clean_text(decode_entities(F.regexp_replace(fragment, _TAG, " ")))
+    return clean_text(decode_entities(F.regexp_replace(fragment, _TAG, " "), bare))
 
 
-def html_title(html: Column | str) -> Column:
-    return clean_text(decode_entities(F.regexp_extract(visible(html), "(?is)<title\\b[^>]*>(.*?)</title\\s*>", 1)))
+def html_title(html: Column | str, bare: bool = True) -> Column:
+    return clean_text(decode_entities(F.regexp_extract(visible(html), "(?is)<title\\b[^>]*>(.*?)</title\\s*>", 1), bare))
 
 
-def html_text(html: Column | str) -> Column:
+def html_text(html: Column | str, bare: bool = True) -> Column:
     """Visible text of the page, title included, entities decoded."""
-    return inner_text(visible(html))
+    return inner_text(visible(html), bare)
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -71,7 +72,7 @@ def attribute(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
 
 
-def links(html: Column | str, base: Column | str) -> Column:
+def links(html: Column | str, base: Column | str, bare: bool = True) -> Column:
     """Array of (position, url, label) of the page's http(s) anchors.
 
     Image alternative text counts as label; script, mail, phone and in-page
@@ -81,12 +82,12 @@ def links(html: Column | str, base: Column | str) -> Column:
 
     def one(a: Column, i: Column) -> Column:
         tag = F.regexp_extract(a, "(?is)^(<a\\b[^>]*>)", 1)
-        href = F.trim(decode_entities(attribute(tag, "href")))
+        href = F.trim(decode_entities(attribute(tag, "href"), bare))
         body = F.regexp_replace(a, "(?is)<img\\b[^>]*?\\balt\\s*=\\s*[\"']([^\"']*)[\"'][^>]*>", " $1 ")
         usable = (href != "") & ~href.rlike("(?i)^(?:javascript:|mailto:|tel:|#)")
         return F.struct((i + 1).cast("int").alias("position"),
                         F.when(usable, stable_url(resolve(_c(base), href))).alias("url"),
-                        inner_text(body).alias("label"))
+                        inner_text(body, bare).alias("label"))
 
     return F.filter(F.transform(anchors, one), lambda x: F.coalesce(x["url"].rlike("(?i)^https?:"), F.lit(False)))
 
