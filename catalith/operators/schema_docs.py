@@ -382,7 +382,10 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def schema_step(nodes: DataFrame, refs: DataFrame) -> DataFrame:
-    """One unfolding step of every open schema node; outcome is open, field or issue."""
+    """One unfolding step of every open schema node; outcome is open, field, issue or nameless.
+
+    A nameless leaf has array steps only; it is neither a field nor an issue, but is a field where its user names it.
+    """
     s = F.col("schema")
     ref = json_value(s, "$['$ref']")
     n = nodes.withColumn("_ref", ref).join(refs, ["path", "_ref"], "left")
@@ -435,7 +438,8 @@ def schema_step(nodes: DataFrame, refs: DataFrame) -> DataFrame:
     named = F.size(F.filter(names, lambda x: x != "[]")) > 0
     leaf = (F.when(has_composite, none).when(bare, F.array(issue(F.lit("object_without_fixed_properties"))))
             .when(F.size(names) == 0, F.array(issue(F.lit("scalar_response_without_named_field"))))
-            .when(named, F.array(row("field", s, loc, names, chain, var))).otherwise(none))
+            .when(named, F.array(row("field", s, loc, names, chain, var)))
+            .otherwise(F.array(row("nameless", s, loc, names, chain, var))))
     by_node = F.when(~_is_object(s), F.array(issue(F.lit("schema_not_object")))).otherwise(F.concat(
         composite, F.when(F.size(props) > 0, by_props).when(F.coalesce(deep, F.lit(False)), by_items).otherwise(leaf)))
     return here.select("path", "operation", "status", "media", F.inline(

@@ -1,105 +1,152 @@
 """Counts over OpenAPI response schemas in which every referenced schema unfolds once.
 
 ``schema_docs.openapi_fields`` lists every leaf by its full name, so a chain of schemas that each use
-the next one twice takes 2^n rows.  Where only counts are asked, a referenced schema is unfolded once
-for each kind of name its user gives it, and the counts travel up the references.
+the next one twice takes 2^n rows.  Where only counts are asked, a referenced schema is unfolded once,
+and the counts travel up the references, document by document.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from decimal import Decimal
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.durable import materialize
+from catalith.layout import shuffle_join
 from catalith.operators.schema_docs import openapi_fields, response_roots, schema_step
 from catalith.sources.definitions import json_value
 
-_KEY = ["path", "node", "given"]
 _COUNT = "decimal(38,0)"
+#: What a schema yields itself: named leaves, leaves with array steps only, leaves without a name, other issues.
+_ENDS = ("named", "arrays", "bare", "issues")
+#: A row of a document's graph: an end or root of ``node``, or its use of ``target``.
+_PART = "operation string, node string, target string, given int, times long, named long, arrays long, bare long, issues long"
 
 
 def _given(names: Column) -> Column:
-    """What a schema gets from its user: 0 no name, 1 only array steps, 2 a name.  Leaves depend on nothing else."""
+    """What names a place has: 0 none, 1 only array steps, 2 a name.  Leaves depend on nothing else."""
     return F.when(F.size(names) == 0, 0).when(F.size(F.filter(names, lambda n: n != "[]")) == 0, 1).otherwise(2)
 
 
 def unfold_shared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(roots, uses, ends, operations): each schema of each document unfolded once, as a graph.
 
-    ``roots(path, operation, node, given)`` are response schemas.  ``uses(path, node, given, target, target_given,
-    times)`` counts references of one unfolded schema to another, and ``ends(path, node, given, fields, issues)`` what
-    it yields itself.  Rounds follow the nesting inside one schema, never the length of a chain of references.
+    ``roots(path, operation, node)`` are response schemas.  ``uses(path, node, target, given, times)`` counts
+    references of one unfolded schema to another by the names they stand under, and ``ends(path, node, named, arrays,
+    bare, issues)`` what every root and every referenced schema yields itself.  Rounds follow the nesting inside one
+    schema, never the length of a chain of references.
     """
     refs, ops, found, lost = response_roots(docs)
     found = materialize(found, "schema-roots")
     root_name = F.concat_ws("|", F.lit("response"), "operation", "status", F.coalesce("media", F.lit("")), "locator")
-    roots = found.select("path", "operation", root_name.alias("node"), F.lit(0).alias("given"))
-    strings = F.array().cast("array<string>")
-    names = F.array(strings, F.array(F.lit("[]")), F.array(F.lit("*")))
-    shared = refs.select("path", F.col("_ref").alias("node"), F.posexplode(names).alias("given", "names"),
-                         F.col("_target").alias("schema"))
-    start = found.select("path", root_name.alias("node"), F.lit(0).alias("given"), strings.alias("names"), "schema")
-    # schema_step carries operation, status and media along; here they hold the schema being unfolded.
-    open_nodes = materialize(start.unionByName(shared).select(
-        "path", F.col("node").alias("operation"), F.col("given").cast("string").alias("status"),
-        F.lit(None).cast("string").alias("media"), "schema", F.col("node").alias("locator"), "names",
+    strings, zero = F.array().cast("array<string>"), F.lit(0).cast("long")
+    start = found.select("path", root_name.alias("node"), "schema").unionByName(
+        refs.select("path", F.col("_ref").alias("node"), F.col("_target").alias("schema")))
+    # schema_step carries operation, status and media along; here operation holds the schema being unfolded.
+    open_nodes = materialize(start.select(
+        "path", F.col("node").alias("operation"), F.lit(None).cast("string").alias("status"),
+        F.lit(None).cast("string").alias("media"), "schema", F.col("node").alias("locator"), strings.alias("names"),
         strings.alias("chain"), F.lit("").alias("variant")), "shared")
-    no_ref = refs.limit(0)
-    uses, ends = [], []
+    no_ref, node, outcome = refs.limit(0), F.col("operation").alias("node"), F.col("outcome")
+    bare = F.coalesce(F.col("reason") == "scalar_response_without_named_field", F.lit(False))
+    none = open_nodes.select("path", node)
+    uses = [none.limit(0).select("path", "node", F.col("node").alias("target"), F.lit(0).alias("given"), zero.alias("times"))]
+    ends = [none.select("path", "node", *[zero.alias(c) for c in _ENDS])]
     while open_nodes.limit(1).count():
         pointed = open_nodes.withColumn("_to", json_value("schema", "$['$ref']"))
-        uses.append(pointed.filter("_to is not null").groupBy(
-            "path", F.col("operation").alias("node"), F.col("status").cast("int").alias("given"),
-            F.col("_to").alias("target"), _given(F.col("names")).alias("target_given")).agg(F.count(F.lit(1)).alias("times")))
+        uses.append(pointed.filter("_to is not null").select(
+            "path", node, F.col("_to").alias("target"), _given(F.col("names")).alias("given"), F.lit(1).cast("long").alias("times")))
         step = materialize(schema_step(pointed.filter("_to is null").drop("_to"), no_ref), "shared")
-        ends.append(step.filter("outcome <> 'open'").groupBy(
-            "path", F.col("operation").alias("node"), F.col("status").cast("int").alias("given")).agg(
-            F.count_if(F.col("outcome") == "field").alias("fields"), F.count_if(F.col("outcome") == "issue").alias("issues")))
+        kinds = {"named": outcome == "field", "arrays": outcome == "nameless", "bare": (outcome == "issue") & bare,
+                 "issues": (outcome == "issue") & ~bare}
+        ends.append(step.filter("outcome <> 'open'").select("path", node, *[k.cast("long").alias(c) for c, k in kinds.items()]))
         open_nodes = step.filter("outcome = 'open'").select(*open_nodes.columns)
-    known = refs.select("path", F.col("_ref").alias("target"), F.lit(True).alias("_known"))
-    keys = materialize(start.select(*_KEY).unionByName(shared.select(*_KEY)), "shared-keys")
-    if not uses:  # no response schema and no reference at all
-        none = keys.withColumn("target", F.col("node")).withColumn("target_given", F.col("given")).withColumn("times", F.lit(0).cast("long"))
-        uses, ends = [none.limit(0)], [keys.select(*_KEY, F.lit(0).cast("long").alias("fields"), F.lit(0).cast("long").alias("issues"))]
-    every_use = _union(uses).groupBy(*_KEY, "target", "target_given").agg(F.sum("times").alias("times"))
-    every_use = materialize(every_use.join(known, ["path", "target"], "left"), "shared-uses")
-    # A reference to nothing is one issue of its user.
-    dangling = every_use.filter("_known is null").groupBy(*_KEY).agg(F.lit(0).cast("long").alias("fields"), F.sum("times").alias("issues"))
-    own = _union(ends).unionByName(dangling).groupBy(*_KEY).agg(F.sum("fields").alias("fields"), F.sum("issues").alias("issues"))
-    own = keys.join(own, _KEY, "left").na.fill(0, ["fields", "issues"])
-    lost_counts = _union(lost).groupBy("path", "operation").agg(F.count(F.lit(1)).alias("lost")) if lost else None
     ops = ops.select("path", "operation", F.upper("method").alias("method"), "route", "name")
-    ops = ops.withColumn("lost", F.lit(0).cast("long")) if lost_counts is None else ops.join(
-        lost_counts, ["path", "operation"], "left").na.fill(0, ["lost"])
-    return roots, every_use.filter("_known").drop("_known"), own, ops
+    lost_counts = _union(lost).groupBy("path", "operation").agg(F.count(F.lit(1)).alias("lost")) if lost else None
+    ops = ops.withColumn("lost", zero) if lost_counts is None else shuffle_join(
+        ops, lost_counts, ["path", "operation"], "left").na.fill(0, ["lost"])
+    return found.select("path", "operation", root_name.alias("node")), _union(uses), _union(ends), ops
+
+
+def graph_counts(parts: Iterable[tuple]) -> dict[str, tuple[int, int, int]] | None:
+    """operation -> (roots, fields, issues) of one document's graph; None when a root reaches a cycle of references."""
+    ends: dict[str, list[int]] = {}
+    uses: dict[str, list[tuple[str, int, int]]] = {}
+    roots = []
+    for operation, node, target, given, times, *own in parts:
+        if operation is not None:
+            roots.append((operation, node))
+        elif target is not None:
+            uses.setdefault(node, []).append((target, given, times))
+        else:
+            ends[node] = [a + b for a, b in zip(ends.get(node, (0, 0, 0, 0)), own)]
+    done: dict[tuple[str, int], tuple[int, int] | None] = {}
+    out: dict[str, tuple[int, int, int]] = {}
+    for operation, root in roots:
+        todo = [(root, 0)]
+        while todo:
+            node, given = at = todo[-1]
+            below = [((t, max(g, given)), n) for t, g, n in uses.get(node, ())]
+            if at not in done:
+                done[at] = None  # open until what it uses is counted
+                todo += {k for k, _ in below if k[0] in ends and k not in done}
+                if any(k in done and done[k] is None for k, _ in below):
+                    return None
+                continue
+            todo.pop()
+            if done[at] is not None:
+                continue
+            named, arrays, bare, issues = ends[node]
+            fields, issues = (named + arrays + bare, issues) if given == 2 else (named, issues + (bare if given == 0 else 0))
+            for k, n in below:
+                f, i = done[k] if k[0] in ends else (0, 1)  # a reference to nothing is an issue of its user
+                fields, issues = fields + n * f, issues + n * i
+            done[at] = fields, issues
+        seen, fields, issues = out.get(operation, (0, 0, 0))
+        out[operation] = seen + 1, fields + done[root, 0][0], issues + done[root, 0][1]
+    return out
+
+
+def _count(n: int) -> Decimal:
+    if n >= 10**38:
+        raise OverflowError("a count beyond decimal(38,0)")
+    return Decimal(n)
 
 
-def settled_counts(uses: DataFrame, ends: DataFrame) -> DataFrame:
-    """(path, node, given, fields, issues) of every schema that reaches no cycle of references.
+def document_counts(roots: DataFrame, uses: DataFrame, ends: DataFrame) -> DataFrame:
+    """(path, operation, response_schemas_observed, output_fields, unresolved_schema_parts) of each operation with a response schema.
 
-    In each round the schemas whose references are all counted are settled, and their counts are added to their
-    users; a schema on a cycle, or above one, is never settled.
+    A document whose operations reach a cycle has one row, without an operation.  Each document's graph meets in one
+    row, which is no larger than the document.
     """
-    waits = uses.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("left"))
-    open_ones = materialize(ends.join(waits, _KEY, "left").select(
-        *_KEY, F.col("fields").cast(_COUNT).alias("fields"), F.col("issues").cast(_COUNT).alias("issues"),
-        F.coalesce("left", F.lit(0)).cast("long").alias("left")), "schema-counts")
-    settled = []
-    while True:
-        ready = open_ones.filter("left = 0").drop("left")
-        settled.append(ready)
-        if not ready.limit(1).count():
-            return _union(settled)
-        given = ready.select("path", F.col("node").alias("target"), F.col("given").alias("target_given"),
-                             F.col("fields").alias("_f"), F.col("issues").alias("_i"))
-        added = uses.join(given, ["path", "target", "target_given"]).groupBy(*_KEY).agg(
-            F.sum(F.col("_f") * F.col("times")).cast(_COUNT).alias("_f"), F.sum(F.col("_i") * F.col("times")).cast(_COUNT).alias("_i"),
-            F.count(F.lit(1)).alias("_n"))
-        zero = F.lit(0).cast(_COUNT)
-        open_ones = materialize(open_ones.filter("left > 0").join(added, _KEY, "left").select(
-            *_KEY, (F.col("fields") + F.coalesce("_f", zero)).cast(_COUNT).alias("fields"),
-            (F.col("issues") + F.coalesce("_i", zero)).cast(_COUNT).alias("issues"),
-            (F.col("left") - F.coalesce("_n", F.lit(0))).alias("left")), "schema-counts")
+    def part(df: DataFrame) -> DataFrame:
+        have = set(df.columns)
+        return df.select("path", F.struct(*[(F.col(c) if c in have else F.lit(None).cast(k)).alias(c)
+                                            for c, k in (x.split() for x in _PART.split(", "))]).alias("part"))
+
+    use = uses.groupBy("path", "node", "target", "given").agg(F.sum("times").alias("times"))
+    end = ends.groupBy("path", "node").agg(*[F.sum(c).alias(c) for c in _ENDS])
+    graphs = _union([part(roots), part(use), part(end)]).groupBy("path").agg(F.collect_list("part").alias("parts"))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column("parts")
+            rows = list(zip(*[c.to_pylist() for c in lists.flatten().flatten()]))
+            at, out = lists.offsets.to_numpy() - lists.offsets[0].as_py(), []
+            for path, i, j in zip(b.column("path").to_pylist(), at, at[1:]):
+                found = graph_counts(rows[i:j])
+                out += [(path, None, None, None, None)] if found is None else [
+                    (path, op, n, _count(f), _count(x)) for op, (n, f, x) in found.items()]
+            kinds = (b.schema.field("path").type, pa.string(), pa.int64(), pa.decimal128(38, 0), pa.decimal128(38, 0))
+            columns = list(zip(*out)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=[
+                "path", "operation", "response_schemas_observed", "output_fields", "unresolved_schema_parts"])
+
+    return graphs.mapInArrow(counted, f"path string, operation string, response_schemas_observed long, output_fields {_COUNT}, "
+                                      f"unresolved_schema_parts {_COUNT}")
 
 
 def openapi_counts(docs: DataFrame) -> DataFrame:
@@ -110,18 +157,14 @@ def openapi_counts(docs: DataFrame) -> DataFrame:
     """
     docs = materialize(docs, "api-docs")
     roots, uses, ends, ops = unfold_shared(docs)
-    counts = settled_counts(uses, ends)
-    per_root = materialize(roots.join(counts, _KEY, "left"), "root-counts")
-    cyclic = per_root.filter("fields is null").select("path").distinct()
-    total = per_root.join(cyclic, "path", "left_anti").groupBy("path", "operation").agg(
-        F.count(F.lit(1)).alias("response_schemas_observed"), F.sum("fields").cast(_COUNT).alias("output_fields"),
-        F.sum("issues").cast(_COUNT).alias("unresolved_schema_parts"))
-    out = ops.join(cyclic, "path", "left_anti").join(total, ["path", "operation"], "left").select(
+    counts = materialize(document_counts(roots, uses, ends), "schema-counts")
+    cyclic = counts.filter("operation is null").select("path")
+    out = shuffle_join(shuffle_join(ops, cyclic, ["path"], "left_anti"), counts.filter("operation is not null"), ["path", "operation"], "left").select(
         "path", "operation", "method", "route", "name", F.coalesce("response_schemas_observed", F.lit(0).cast("long")).alias("response_schemas_observed"),
         F.coalesce("output_fields", F.lit(0)).cast(_COUNT).alias("output_fields"),
         (F.coalesce("unresolved_schema_parts", F.lit(0)) + F.col("lost")).cast(_COUNT).alias("unresolved_schema_parts"))
     if cyclic.limit(1).count():
-        _, _, listed = openapi_fields(docs.join(cyclic, "path", "left_semi"))
+        _, _, listed = openapi_fields(shuffle_join(docs, cyclic, ["path"], "left_semi"))
         out = out.unionByName(listed.select(*[F.col(c).cast(_COUNT).alias(c) if c in ("output_fields", "unresolved_schema_parts")
                                               else F.col(c) for c in out.columns]))
     return out.withColumn("status", F.when(F.col("output_fields") > 0, F.lit("definition_observed")).otherwise(F.lit("definition_unresolved")))
