@@ -35,8 +35,14 @@ def dense_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "
     range-partitioned and sorted once, the position inside each partition is
     written out, and a table with one row per partition supplies the offsets.
     """
+    placed = materialize(place_rows(df, order), "rownum")
+    return numbered(placed, place_offsets(placed), name)
+
+
+def place_rows(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """``df`` in the order ``order`` with the place of each row, ``_pid`` and ``_pos``; to be written before it is read."""
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    placed = (
+    return (
         df.repartitionByRange(*cols)
         .sortWithinPartitions(*cols)
         .withColumn("_mid", F.monotonically_increasing_id())
@@ -44,14 +50,20 @@ def dense_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
         .drop("_mid")
     )
-    placed = materialize(placed, "rownum")
-    # One row per partition: bounded by the partition count, not by the data.
-    offsets = (
+
+
+def place_offsets(placed: DataFrame) -> DataFrame:
+    """Rows before each partition.  One row per partition: bounded by the partition count, not by the data."""
+    return (
         placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_off", F.coalesce(
             F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .select("_pid", "_off")
     )
+
+
+def numbered(placed: DataFrame, offsets: DataFrame, name: str) -> DataFrame:
+    """The written rows of ``place_rows`` under their numbers, which start at 1."""
     return (
         placed.join(F.broadcast(offsets), "_pid")
         .withColumn(name, (F.col("_off") + F.col("_pos") + 1).cast("long"))

@@ -1,7 +1,7 @@
 """The concept graph built once and read many times.
 
 ``build`` matches the source items against the vocabulary and stores them in scan order
-under their dense ids; mappings, terms and aggregates are derived from the stored items,
+with the place that gives their dense ids; mappings, terms and aggregates are derived from the stored items,
 each written at its first use.  Queries then read tables instead of matching again.
 
 Items and mappings are clustered by the range partitions of the numbering (item kind, then
@@ -19,7 +19,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.durable import scratch_root
+from catalith.durable import materialize, scratch_root
+from catalith.layout import numbered, place_offsets, place_rows
 from catalith.operators import lexical as lx
 from catalith.operators.reconcile import table_difference
 
@@ -34,6 +35,7 @@ class GraphStore:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
         self._schemas: dict[str, object] = {}
+        self._offsets: DataFrame | None = None
 
     def _table(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         place = f"{self.path}/{name}"
@@ -48,7 +50,11 @@ class GraphStore:
         """``id``, the item columns and ``concept_ids``."""
         if "items" not in self._schemas:
             raise ValueError("nothing stored here: use build")
-        return self.spark.read.schema(self._schemas["items"]).parquet(f"{self.path}/items")
+        placed = self.spark.read.schema(self._schemas["items"]).parquet(f"{self.path}/items")
+        if self._offsets is None:
+            self._offsets = materialize(place_offsets(placed), "item-offsets")
+        out = numbered(placed, self._offsets, "id")
+        return out.select("id", *[c for c in out.columns if c != "id"])
 
     @property
     def mappings(self) -> DataFrame:
@@ -61,6 +67,11 @@ class GraphStore:
         """Occurrences and first examples of each (portal, role, term)."""
         return self._table("terms", lambda: lx.term_buckets(lx.item_terms(self.items)))
 
+    @property
+    def term_counts(self) -> DataFrame:
+        """Occurrences of each (portal, role, term), without examples."""
+        return self._table("term_counts", lambda: lx.term_counts(lx.item_terms(self.items)))
+
     @property
     def portal_concepts(self) -> DataFrame:
         """Occurrences and distinct records of each (portal, concept, item kind)."""
@@ -100,5 +111,7 @@ def build(items: DataFrame, aliases: DataFrame, rules: Sequence[lx.ScopeRule] =
     """
     spark = items.sparkSession
     store = GraphStore(spark, path or f"{scratch_root(spark)}/graph_{uuid.uuid4().hex}")
-    store._table("items", lambda: lx.match_items(lx.number_items(items), aliases, rules))
+    # Written once before they are ordered: range partitions are drawn from a first pass over the rows.
+    matched = materialize(lx.match_items(items, aliases, rules), "matched")
+    store._table("items", lambda: place_rows(matched, lx.scan_order()))
     return store

@@ -143,9 +143,12 @@ def number_items(items: DataFrame) -> DataFrame:
     The order ends in every column, so equal leading keys still spread over
     range partitions.
     """
+    return dense_row_number(items, scan_order(), "id").select("id", *items.columns)
+
+
+def scan_order() -> list[Column]:
     branch = F.array_position(F.lit(list(KINDS)), F.col("kind"))
-    tail = [F.col(c) for c in ("record_id", "evidence_id", "ordinal", "locator", "role", "label", "name_en", "unit")]
-    return dense_row_number(items, [branch, *tail], "id").select("id", *items.columns)
+    return [branch, *[F.col(c) for c in ("record_id", "evidence_id", "ordinal", "locator", "role", "label", "name_en", "unit")]]
 
 
 def item_labels(label: Column, name_en: Column) -> Column:
@@ -259,7 +262,7 @@ def term_buckets(terms: DataFrame, examples: int = 2) -> DataFrame:
     the ranked window is limited per task before it shuffles.
     """
     keys = ["portal_id", "term_role", "term"]
-    counts = terms.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences"))
+    counts = term_counts(terms)
     w = Window.partitionBy(*keys).orderBy("item_id")
     first = (terms.select(*keys, "item_id", "record_id").withColumn("_rn", F.row_number().over(w))
              .filter(F.col("_rn") <= examples))
@@ -268,6 +271,11 @@ def term_buckets(terms: DataFrame, examples: int = 2) -> DataFrame:
     return shuffle_join(counts, picked, keys)
 
 
+def term_counts(terms: DataFrame) -> DataFrame:
+    """Occurrences of each (portal, role, label)."""
+    return terms.groupBy("portal_id", "term_role", "term").agg(F.count(F.lit(1)).alias("occurrences"))
+
+
 def top_terms(buckets: DataFrame, k: int = 60, role: str | None = None, q: str | None = None) -> DataFrame:
     """The k most frequent terms, ties by key; ``q`` is a literal substring."""
     out = buckets

@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from catalith.durable import materialize
 from catalith.functions import text as tx
-from catalith.layout import dense_row_number
+from catalith.layout import dense_row_number, dictionary_join
 from catalith.operators import coverage as cv
 from catalith.operators import lexical as lx
 from catalith.operators import search as se
@@ -64,7 +65,7 @@ def term_buckets(t: Tables):
 @query("q05_top_terms", f"""WITH {m.ITEMS}{_TERMS} SELECT portal_id, term_role, term, count(*) AS occurrences FROM terms
   GROUP BY ALL ORDER BY occurrences DESC, portal_id, term_role, term LIMIT 80""")
 def top_terms(t: Tables):
-    return lx.top_terms(m.graph(t).terms.drop("examples"), 80)
+    return lx.top_terms(m.graph(t).term_counts, 80)
 
 
 @query("q06_diverse_sample", f"""WITH {m.MATCH}, m2 AS (SELECT *, CASE kind WHEN 'catalog_label' THEN 1
@@ -77,9 +78,11 @@ def diverse_sample(t: Tables):
 
 
 def _sample(t: Tables):
-    pairs = m.graph(t).items.withColumn("concept_id", F.explode("concept_ids"))
-    pairs = pairs.withColumn("branch", F.array_position(F.lit(list(lx.KINDS)), F.col("kind")))
-    return lx.diverse_sample(pairs, ["branch", "record_id", "evidence_id", "ordinal", "locator"])
+    """The sample in scan order, which the ids follow; only ids are ranked, and the few sampled items fetched by them."""
+    items = m.graph(t).items
+    pairs = items.select("id", "portal_id", F.explode("concept_ids").alias("concept_id"))
+    first = materialize(lx.diverse_sample(pairs, ["id"]), "sample").drop("portal_id")
+    return materialize(dictionary_join(items, first, ["id"]), "sample")
 
 
 @query("q52_mapping_proposals", f"""WITH {m.MATCH}, m2 AS (SELECT *, CASE kind WHEN 'catalog_label' THEN 1
