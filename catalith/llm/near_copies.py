@@ -25,9 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.durable import materialize
+from catalith.layout import shuffle_join
 from catalith.llm.common import attach, settings, stored, text_hash
 from catalith.llm.components import components
-from catalith.llm.simhash import Forest, shingle_hashes
+from catalith.llm.simhash import Forest, fingerprint_table, link_stars, shingle_hashes
 
 WORDS, LEAST = 5, 0.8
 BANDS, ROWS = 24, 6
@@ -111,12 +112,28 @@ def compare(group: pa.Table, words: int, least: float) -> pa.Table:
     return pa.table({"a": node[leaves], "b": node[roots]})
 
 
+def fingerprint_links(docs: DataFrame, table: DataFrame, budget: int, text: str = "text") -> DataFrame:
+    """Edges ``(a, b)`` between the nodes of ``table(h, node)`` whose SimHash fingerprints differ in ``budget`` bits or fewer.
+
+    Of each fingerprint the smallest node takes part in the trie join; the others are linked with it.
+    """
+    prints = fingerprint_table(docs.select(F.lit(0).alias("k"), F.col(text).alias("t")), "k", "t").select("h", "fp").distinct()
+    known = materialize(shuffle_join(table.select("h", "node").distinct(), prints, ["h"]).select("node", "fp").distinct(), "prints")
+    first = materialize(known.groupBy("fp").agg(F.min("node").alias("first")), "first-prints")
+    same = shuffle_join(known, first, ["fp"]).filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    stars = materialize(link_stars(first.select("fp"), budget), "stars")
+    ends = [first.select(F.col("fp").alias(c), F.col("first").alias(f"_{c}")) for c in ("a", "b")]
+    near = shuffle_join(shuffle_join(stars, ends[0], ["a"]), ends[1], ["b"]).select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    return materialize(same.unionByName(near), "print-links")
+
+
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, least: float = LEAST,
-                   block: int = BLOCK) -> DataFrame:
+                   block: int = BLOCK, budget: int | None = None) -> DataFrame:
     """``(k, h, component)`` of every row; ``component`` is the smallest key reachable by links.
 
     Texts with the same words in the same order (A-Z lower-cased) are linked, so all texts
-    without a word are.  A null key is above all others.
+    without a word are.  With a ``budget`` so are texts whose SimHash fingerprints differ in that
+    many bits or fewer.  A null key is above all others.
     """
     table = stored(_table(docs, key, text, words), "bands")
     nodes = materialize(table.groupBy("node").agg(
@@ -140,7 +157,8 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     with settings(docs.sparkSession, PAIRS):
         edges = materialize(_linked(both, words, least), "links")
     more = _within(placed, components(edges), texts, words, least, block)
-    roots = components(edges.unionByName(more))
+    links = edges.unionByName(more)
+    roots = components(links if budget is None else links.unionByName(fingerprint_links(docs, table, budget, text)))
 
     named = nodes.join(roots, "node", "left").select("node", "least", "n", F.coalesce("root", "node").alias("root"))
     named = materialize(named, "named")

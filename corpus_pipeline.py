@@ -24,11 +24,16 @@ def _stage(keep: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callabl
     return run_stage
 
 
+def _near(docs: DataFrame, key: str) -> DataFrame:
+    """SimHash links as in op3, and beside them the links of similar five-word shingles, which scattered edits need."""
+    return near_copies.similar_groups(docs, key, budget=simhash.BUDGET)
+
+
 STAGES = [
     ("toxicity", _stage(lambda spark, docs, sf_dir: toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))),
     ("language", _stage(lambda spark, docs, sf_dir: language.drop_unknown(docs))),
     ("exact_dedup", _stage(lambda spark, docs, sf_dir: exact_dedup.drop_copies(docs))),
-    ("near_dedup", _stage(lambda spark, docs, sf_dir: simhash.keep_one(docs, groups=near_copies.similar_groups))),
+    ("near_dedup", _stage(lambda spark, docs, sf_dir: simhash.keep_one(docs, groups=_near))),
     ("packing", _stage(lambda spark, docs, sf_dir: packing.packed_documents(docs))),
 ]
 
