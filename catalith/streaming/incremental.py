@@ -33,7 +33,7 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def definition_stream(spark: SparkSession, path: str) -> DataFrame:
-    """New definition documents as they arrive, one file each.
+    """New definition documents as they arrive, one file each (many to a file: ``definition_bundle_stream``).
 
     A changed document must arrive under a new file name; the logical document
     name is the part before ``@``.
@@ -44,6 +44,23 @@ def definition_stream(spark: SparkSession, path: str) -> DataFrame:
                       F.col("_metadata.file_modification_time").alias("arrived_at"))
 
 
+def definition_bundle_stream(spark: SparkSession, path: str) -> DataFrame:
+    """New definition documents as they arrive, many to a file; rows as in ``definition_stream``.
+
+    Each line is ``{"file": ..., "value": ...}``: the file name the document would have by itself, and its text.
+    Another line is a document itself, named after its file and its own hash, so nothing unreadable is lost.
+    Files cost the stream a listing and a log entry each, so bundles are the form for large arrivals.
+    """
+    raw = spark.readStream.schema("value string").text(path).filter("trim(value) <> ''")
+    line = F.when(F.try_parse_json("value").isNotNull(), F.from_json("value", "file string, value string"))
+    whole = line["file"].isNotNull() & line["value"].isNotNull()
+    bundle = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1)
+    own = F.concat(bundle, F.lit("#"), F.sha2("value", 256))
+    rows = raw.select(F.when(whole, line["file"]).otherwise(own).alias("file"), F.when(whole, line["value"]).otherwise(F.col("value")).alias("value"),
+                      F.col("_metadata.file_modification_time").alias("arrived_at"))
+    return rows.select("file", F.regexp_extract("file", "^([^@]+)", 1).alias("name"), "value", "arrived_at")
+
+
 def incremental_index(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Keep the definition index current: one log row per arrived document."""
     return append_batches(stream, path, checkpoint)
