@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from catalith.operators.review import TRANSITIONS
+from catalith.operators.review import STATES, TRANSITIONS
 
 # Rows of one emitted frame.
 FRAME = 10_000
@@ -45,7 +45,17 @@ def review_state_stream(events: DataFrame, initial: str = "proposed", ttl_ms: in
     last one of its proposal (a null ``seq`` included) came too late: it is rejected with ``late``.  After ``ttl_ms``
     without events a proposal still in ``initial`` is forgotten; any other state, such as an approval, is kept.
     """
-    legal = {a: set(b) for a, b in TRANSITIONS.items()}
+    names = list(STATES)
+    step = [{to: names.index(to) for to in TRANSITIONS[a]} for a in names]
+
+    def ordered(frames: list[pd.DataFrame]) -> tuple:
+        """Numbers in order, None last, and their states; most proposals come as one frame of whole numbers."""
+        if len(frames) == 1 and frames[0]["seq"].dtype == "int64":
+            seq, to = frames[0]["seq"].to_numpy(), frames[0]["to_state"].to_numpy(dtype=object)
+            at = seq.argsort(kind="stable")
+            return seq[at].tolist(), to[at]
+        rows = pd.concat(frames, ignore_index=True).astype({"seq": "Int64"}).sort_values("seq", kind="stable", na_position="last")
+        return rows["seq"].astype(object).where(rows["seq"].notna(), None).tolist(), rows["to_state"].to_numpy(dtype=object)
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         now, last = state.get if state.exists else (initial, None)
@@ -54,27 +64,26 @@ def review_state_stream(events: DataFrame, initial: str = "proposed", ttl_ms: in
                 state.remove()
             return
         frames = [f for f in frames if len(f)]
-        rows = pd.concat(frames, ignore_index=True).astype({"seq": "Int64"}) if frames else None
-        for at in range(0, len(rows) if frames else 0, FRAME):
-            if at == 0:
-                rows = rows.sort_values("seq", kind="stable", na_position="last")
-            part = rows.iloc[at:at + FRAME]
-            before, after, late = [], [], []
-            for seq, to in zip(part["seq"], part["to_state"], strict=True):
-                missed = seq is pd.NA or (last is not None and seq <= last)
-                before.append(now)
-                late.append(missed)
-                if not missed:
-                    now, last = (to if to in legal[now] else now), int(seq)
-                after.append(now)
-            yield pd.DataFrame({"proposal_id": key[0], "seq": part["seq"].array, "to_state": part["to_state"].array,
-                                "state_before": before, "state_after": after,
-                                "accepted": [a != b for a, b in zip(before, after, strict=True)], "late": late})
-        state.update((now, last))
+        seqs, states = ordered(frames) if frames else ([], [])
+        now = names.index(now)
+        for at in range(0, len(seqs), FRAME):
+            part, told, codes = seqs[at:at + FRAME], states[at:at + FRAME], []
+            for seq, to in zip(part, told, strict=True):
+                before, late = now, seq is None or (last is not None and seq <= last)
+                if not late:
+                    now, last = step[now].get(to, now), seq
+                codes.append(before << 8 | now << 1 | late)
+            yield pd.DataFrame({"proposal_id": key[0], "seq": part if part[-1] is not None else pd.array(part, dtype="Int64"),
+                                "to_state": told, "code": codes}, copy=False)
+        state.update((names[now], last))
         if ttl_ms:
             state.setTimeoutDuration(ttl_ms)
 
     kind = dict(events.dtypes)["proposal_id"]
-    schema = f"proposal_id {kind}, seq long, to_state string, state_before string, state_after string, accepted boolean, late boolean"
     timeout = GroupStateTimeout.ProcessingTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
-    return events.groupBy("proposal_id").applyInPandasWithState(run, schema, "state string, last long", "append", timeout)
+    # A frame of four columns for each proposal: the codes become words and flags in the JVM.
+    out = events.select("proposal_id", "seq", "to_state").groupBy("proposal_id").applyInPandasWithState(
+        run, f"proposal_id {kind}, seq long, to_state string, code int", "state string, last long", "append", timeout)
+    before, after = F.shiftright("code", 8), F.shiftright("code", 1).bitwiseAND(F.lit(127))
+    return out.select("proposal_id", "seq", "to_state", F.get(F.lit(names), before).alias("state_before"), F.get(F.lit(names), after).alias("state_after"),
+                      (before != after).alias("accepted"), (F.col("code") % 2 == 1).alias("late"))
