@@ -8,13 +8,13 @@ third of all rows is then many chunks on many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith.durable import materialize
-from catalith.layout import dense_row_number
+from catalith.layout import dense_row_number, place_offsets, place_rows
 
 CHUNK = 256
 
@@ -51,11 +51,14 @@ def _scan(elems: DataFrame, rows: int, combine: Callable[[Column, Column], Colum
     if rows <= chunk:
         return local.select("_b", F.inline("out")).select("_b", F.col("i").alias("_i"), F.col("v").alias("_before"))
     local = materialize(local, "chunk")
-    totals = local.select("_b", F.col("_c").alias("_idx"), F.col("acc").alias("_e"))
+    # A block that goes on beyond its chunk touches an edge of it; the others, such as many short blocks, are done.
+    edge = (F.col("out")[0]["i"] == (F.col("_c") - 1) * chunk + 1) | (F.element_at("out", -1)["i"] == F.col("_c") * chunk)
+    totals = local.filter(edge).select("_b", F.col("_c").alias("_idx"), F.col("acc").alias("_e"))
     carried = _scan(totals, -(-rows // chunk), combine, identity, chunk).select(
         F.col("_b").alias("_b2"), F.col("_i").alias("_c2"), F.col("_before").alias("_carry"))
-    joined = local.join(carried, local["_b"].eqNullSafe(carried["_b2"]) & (local["_c"] == carried["_c2"]))
-    return joined.select("_b", "_carry", F.inline("out")).select(
+    joined = local.join(carried, local["_b"].eqNullSafe(carried["_b2"]) & (local["_c"] == carried["_c2"]), "left")
+    carry = F.when(F.col("_c2").isNull(), identity).otherwise(F.col("_carry")).alias("_carry")
+    return joined.select("_b", carry, F.inline("out")).select(
         "_b", F.col("i").alias("_i"), combine(F.col("_carry"), F.col("v")).alias("_before"))
 
 
@@ -69,32 +72,47 @@ def carry_down(df: DataFrame, block: str, order: Sequence[str], value: Column, o
     return scanned.withColumn(out, F.coalesce("_v", "_before")).drop("_v", "_before")
 
 
-def heading_scope(elements: DataFrame, page: str, position: str, level: str, label: str,
-                  ignored: tuple[str, ...] = ()) -> DataFrame:
+def last_at_or_above(df: DataFrame, block: str, order: Sequence[str], values: Mapping[str, Column], number: str = "_at") -> DataFrame:
+    """Add, for each of ``values``, ``(at, value)`` of the latest row at or above with a non-null value in the block.
+
+    ``at`` numbers the rows in the order of the block and ``order``, as column ``number``.  The rows are placed
+    once; a window runs over each block's share of a range partition, so a hot block is as many tasks as it has
+    partitions, and what earlier partitions hand on is one row a partition.
+    """
+    placed = materialize(place_rows(df, [block, *order]), "rownum")
+    offsets = place_offsets(placed)
+    at = (F.col("_off") + F.col("_pos") + 1).cast("long")
+    rows = placed.join(F.broadcast(offsets), "_pid").withColumn(number, at).drop("_off", "_pos")
+    found = {n: F.when(v.isNotNull(), F.struct(F.col(number).alias("at"), v.alias("value"), F.col(block).alias("block"))) for n, v in values.items()}
+    # The last such row of each partition: found by its number, then read.
+    last = rows.groupBy("_pid").agg(*[F.max(F.when(v.isNotNull(), F.col(number))).alias(n) for n, v in values.items()])
+    ends = rows.join(F.broadcast(last.select(F.explode(F.array_distinct(F.array_compact(F.array(*values)))).alias(number))), number)
+    ends = ends.groupBy("_pid").agg(*[F.max_by(f, f["at"]).alias(n) for n, f in found.items()])
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    handed = materialize(offsets.join(ends, "_pid", "left").select(
+        "_pid", *[F.last(n, ignorenulls=True).over(earlier).alias(f"_{n}") for n in values]), "handed")
+    above = Window.partitionBy("_pid", block).orderBy(number).rowsBetween(Window.unboundedPreceding, 0)
+    kept = [c for c in dict.fromkeys([*df.columns, number]) if c not in values]
+    seen = rows.select(*rows.columns, *[F.last(f, ignorenulls=True).over(above).alias(f"_here_{n}") for n, f in found.items()])
+    return seen.join(F.broadcast(handed), "_pid").select(*kept, *[
+        F.coalesce(f"_here_{n}", F.when(F.col(f"_{n}.block").eqNullSafe(F.col(block)), F.col(f"_{n}"))).dropFields("block").alias(n) for n in values])
+
+
+def heading_scope(elements: DataFrame, page: str, position: str | Sequence[str], level: str, label: str,
+                  ignored: tuple[str, ...] = (), number: str | None = None) -> DataFrame:
     """Attach to each element the section and operation heading it stands under.
 
     Level-3 headings open a section and close the current operation; level-4
     headings open an operation unless their label is in ``ignored``.  An element
     before any operation heading keeps a null ``operation`` (unassigned).
+    ``position`` is one column or several; ``number`` names a column for the
+    elements' numbers 1..n in the order of page and position.
     """
     is_section = F.coalesce(F.col(level) == 3, F.lit(False))
     is_operation = F.coalesce(F.col(level) == 4, F.lit(False)) & ~F.col(label).isin(*ignored)
-    mark = F.when(is_section, F.struct(F.col(label).alias("section"), F.lit(None).cast("string").alias("operation"),
-                                       F.lit(True).alias("opens")))
-    mark = mark.when(is_operation, F.struct(F.lit(None).cast("string").alias("section"),
-                                            F.col(label).alias("operation"), F.lit(False).alias("opens")))
-    none = F.struct(F.lit(None).cast("string").alias("section"), F.lit(None).cast("string").alias("operation"),
-                    F.lit(False).alias("opens"))
-
-    def combine(a: Column, b: Column) -> Column:
-        # A later section replaces everything; a later operation keeps the section.
-        return F.when(b["opens"], b).otherwise(F.struct(
-            F.coalesce(b["section"], a["section"]).alias("section"),
-            F.coalesce(b["operation"], a["operation"]).alias("operation"),
-            (a["opens"] | b["opens"]).alias("opens")))
-
-    element = F.coalesce(mark, none)
-    scanned = segmented_scan(elements, page, [position], element, combine, none, "_scope")
-    here = combine(F.col("_scope"), element)
-    return scanned.withColumn("_here", here).withColumn("section", F.col("_here.section")).withColumn(
-        "operation", F.col("_here.operation")).drop("_scope", "_here")
+    # A section without a label closes what is above, too; an operation without one opens nothing.
+    marks = {"_section": F.when(is_section, F.struct(F.col(label).alias("label"))), "_operation": F.when(is_operation, F.col(label))}
+    scanned = last_at_or_above(elements, page, [position] if isinstance(position, str) else list(position), marks, number or "_at")
+    inside = F.col("_section").isNull() | (F.col("_operation.at") > F.col("_section.at"))
+    out = scanned.withColumn("section", F.col("_section.value.label")).withColumn("operation", F.when(inside, F.col("_operation.value")))
+    return out.drop("_section", "_operation", *([] if number else ["_at"]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalith.durable import materialize
-from catalith.layout import dense_row_number, dictionary_join, fits_broadcast, shuffle_join
+from catalith.layout import dictionary_join, fits_broadcast, shuffle_join
 from catalith.operators import coverage as cv
 from catalith.operators import joins as jn
 from catalith.operators import reconcile as rc
@@ -334,12 +334,11 @@ def lifecycle(t: Tables):
     WINDOW w AS (PARTITION BY l_orderkey ORDER BY pos ROWS UNBOUNDED PRECEDING))
   SELECT l_orderkey, pos, section, CASE WHEN sp IS NULL OR opos > sp THEN op END AS operation FROM s""")
 def heading_scope(t: Tables):
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    lines = dense_row_number(t.lineitem.select(*keys, "l_returnflag", "l_linestatus", "l_quantity"), keys, "pos")
-    e = lines.select("l_orderkey", "pos",
+    place = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    e = t.lineitem.select("l_orderkey", *place,
                           F.when(F.col("l_returnflag") == "R", F.lit(3)).when(F.col("l_returnflag") == "A", F.lit(4)).alias("level"),
                           F.concat("l_linestatus", F.col("l_quantity").cast("int").cast("string")).alias("label"))
-    return sc.heading_scope(e, "l_orderkey", "pos", "level", "label").select("l_orderkey", "pos", "section", "operation")
+    return sc.heading_scope(e, "l_orderkey", place, "level", "label", number="pos").select("l_orderkey", "pos", "section", "operation")
 
 
 @query("q156_institution_queue", """WITH p AS (SELECT o_orderkey, o_orderpriority AS lst, last_value(CASE WHEN o_orderstatus = 'P' THEN 'o' || o_orderkey END IGNORE NULLS) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS parent FROM orders)
