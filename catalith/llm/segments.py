@@ -22,7 +22,7 @@ from struct import pack, unpack
 import numpy as np
 
 #: Pieces whose ids a worker keeps (some 200 bytes each).
-KEPT_PIECES = 200_000
+KEPT_PIECES = 400_000
 #: Two separators in a row, or white space other than space and line end.
 _ODD = re.compile(r"[ \n][ \n]|[^\S \n]")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
@@ -30,6 +30,8 @@ _SAFE = re.compile(r"(?<=\S)(?= \S)")
 _MIXED = re.compile(r"([^\W\d_]+)([!-/:-@\[-^`{-~].*)", re.DOTALL)
 #: Forms of few ids.
 _FORMATS = [f"<{n}I" for n in range(32)]
+#: ASCII punctuation that mostly ends a word.
+_ENDS = frozenset(".,;:!?")
 
 
 #: Fixed value: the split pattern of byte-level pre-tokenizers, without needless backtracking.
@@ -170,10 +172,13 @@ class Encoder:
         words, latin, latins = self.words if self.drops_space else None, self.latin, self.latin_set
 
         def make(piece: str) -> bytes:
-            if piece.isalpha():
-                if words and latins.issuperset(piece):
+            if words and piece:
+                if latins.issuperset(piece):
                     ids = words(piece.translate(latin).encode("latin-1"))
-                    return pack(f"<{len(ids)}I", *ids)
+                    return pack(_FORMATS[len(ids)] if len(ids) < len(_FORMATS) else f"<{len(ids)}I", *ids)
+                if piece[-1] in _ENDS and len(piece) > 1 and latins.issuperset(word := piece[:-1]):
+                    return store[word] + self.bare[piece[-1]]
+            if piece.isalpha():
                 if plain and piece.isascii():
                     ids = [t.id for t in tokenize(head + plain(piece))]
                     return pack(_FORMATS[len(ids)] if len(ids) < len(_FORMATS) else f"<{len(ids)}I", *ids)
