@@ -68,14 +68,19 @@ class Index:
         self.top = float(self.rest[:, 0].max(initial=0.0))
         self.known = np.zeros(len(x), dtype=np.int64)
 
-    def lower(self, norm: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Index every row until its unindexed norm is at most ``norm``; the new postings (dimension, rows, values)."""
+    def grow(self, norm: float) -> tuple[np.ndarray, np.ndarray]:
+        """Index every row until its unindexed norm is at most ``norm``: where postings are new, and their values (a list is a column)."""
         need = np.maximum((self.rest > norm).sum(axis=1), self.known)
         fresh = (self.place >= self.known[:, None]) & (self.place < need[:, None])
         self.known = need
+        return fresh, np.where(fresh, self.x, 0.0)
+
+    def lower(self, norm: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """``grow``, with the new postings list by list (dimension, rows, values)."""
+        fresh, values = self.grow(norm)
         for d in np.flatnonzero(fresh.any(axis=0)):
             rows = np.flatnonzero(fresh[:, d])
-            yield int(d), rows, self.x[rows, d]
+            yield int(d), rows, values[rows, d]
 
     def unindexed(self) -> np.ndarray:
         return self.rest[np.arange(len(self.x)), self.known]
@@ -94,15 +99,20 @@ def above(x: np.ndarray, q: np.ndarray, allowed: np.ndarray, floor: np.ndarray,
     low = np.where(floor == NONE, -np.inf, floor.astype(np.float64))
     for level in (*LEVELS, None):
         reach = 0.0 if level is None else level * index.top
-        for d, rows, values in index.lower(reach):
-            part[rows] += values[:, None] * qf[live, d][None, :]
-            used[rows] += (qf[live, d] ** 2)[None, :]
+        fresh, values = index.grow(reach)
+        if fresh.any():
+            # The new postings of all lists in one product each: a list adds its rows' values times the anchors' component.
+            part += values @ qf[live].T
+            used += fresh.astype(np.float64) @ (qf[live] ** 2).T
         at = np.full(len(live), -np.inf) if level is None else level * index.top * norm[live]
         at = np.maximum(at, low[live])
         # The slack covers rounding of the partial sums; scores themselves are exact.
-        rest = np.sqrt(np.maximum(norm[live][None, :] ** 2 - used, 0.0)) * index.unindexed()[:, None]
-        slack = 1e-9 * (norm[live][None, :] * index.top + 1.0)
-        row, col = np.nonzero(allowed[:, live] & (part + rest + slack >= at[None, :]))
+        reachable = norm[live][None, :] ** 2 - used
+        np.sqrt(np.maximum(reachable, 0.0, out=reachable), out=reachable)
+        reachable *= index.unindexed()[:, None]
+        reachable += part
+        slack = 1e-9 * (norm[live] * index.top + 1.0)
+        row, col = np.nonzero(allowed[:, live] & (reachable >= (at - slack)[None, :]))
         score = np.empty(len(row), dtype=np.int64)
         for s in range(0, len(row), 65536):
             e = s + 65536
@@ -133,8 +143,11 @@ class Kept:
         self.n, self.k = n, k
         self.window = self.score = self.ident = np.zeros(0, dtype=np.int64)
 
-    def add(self, window: np.ndarray, score: np.ndarray, ident: np.ndarray) -> None:
-        w, s, i = (np.concatenate(z) for z in ((self.window, window), (self.score, score), (self.ident, ident)))
+    def add(self, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        """Take in rows ``(window, score, ident)``; each call sorts all that is kept, so a chunk's finds come together."""
+        if not found:
+            return
+        w, s, i = (np.concatenate(z) for z in zip((self.window, self.score, self.ident), *found, strict=True))
         top = best(w, s, i, self.k)
         self.window, self.score, self.ident = w[top], s[top], i[top]
 
@@ -167,6 +180,8 @@ def positives_of(batches: Iterator[pa.RecordBatch], anchors: dict, pick: int) ->
             if (a := anchors.get(x.shape[1])) is None:
                 continue
             k = kept[x.shape[1]]
+            # An anchor meets a chunk once, so the chunk's finds join the kept rows together.
+            worst, found = k.worst(), []
             for value in np.unique(label):
                 mine, rows = np.flatnonzero(a["label"] == value), np.flatnonzero(label == value)
                 for s in range(0, len(mine), SIDE):
@@ -176,8 +191,9 @@ def positives_of(batches: Iterator[pa.RecordBatch], anchors: dict, pick: int) ->
                     def full(live: np.ndarray, col: np.ndarray, score: np.ndarray) -> np.ndarray:
                         return np.bincount(col, minlength=len(live)) >= pick
 
-                    for r, c, score in above(x[rows], a["v"][some], other, k.worst()[some], full):
-                        k.add(some[c], score, ident[rows[r]])
+                    for r, c, score in above(x[rows], a["v"][some], other, worst[some], full):
+                        found.append((some[c], score, ident[rows[r]]))
+            k.add(found)
     for dim, k in kept.items():
         yield pa.RecordBatch.from_arrays([pa.array(anchors[dim]["no"][k.window]), pa.array(k.ident), pa.array(k.score)],
                                          names=["anchor", "k", "score"])
@@ -195,7 +211,8 @@ def negatives_of(batches: Iterator[pa.RecordBatch], anchors: dict, pick: int) ->
                 some = np.arange(s, min(s + SIDE, len(a["v"])))
                 high, low = a["high"][some], a["low"][some]
                 # A place without a positive has low above high: nothing lies in it, and it sets no floor.
-                floors = np.maximum(low, k.worst().reshape(-1, width)[some])
+                worst, found = k.worst(), []
+                floors = np.maximum(low, worst.reshape(-1, width)[some])
                 floors = np.where(low <= high, floors, np.iinfo(np.int64).max).min(axis=1)
                 other = label[:, None] != a["label"][some][None, :]
 
@@ -209,8 +226,10 @@ def negatives_of(batches: Iterator[pa.RecordBatch], anchors: dict, pick: int) ->
 
                 for r, c, score in above(x, a["v"][some], other, floors, full):
                     for p in range(width):
-                        inside = (score <= high[c, p]) & (score >= low[c, p])
-                        k.add(some[c[inside]] * width + p, score[inside], ident[r[inside]])
+                        window = some[c] * width + p
+                        inside = (score <= high[c, p]) & (score >= low[c, p]) & (score >= worst[window])
+                        found.append((window[inside], score[inside], ident[r[inside]]))
+                k.add(found)
     for dim, k in kept.items():
         at, place = np.divmod(k.window, anchors[dim]["high"].shape[1])
         yield pa.RecordBatch.from_arrays([pa.array(anchors[dim]["no"][at]), pa.array((place + 1).astype(np.int32)), pa.array(k.ident), pa.array(k.score)],
