@@ -3,7 +3,7 @@
 * ``dense_row_number`` numbers rows globally without a one-partition window.
 * ``dictionary_join`` joins a large table to a small one: broadcast when the
   measured size allows it, otherwise a salted shuffle join that splits a hot key.
-* ``shuffle_join`` joins two large tables without a broadcast.
+* ``shuffle_join`` joins two large tables without a broadcast, ``hash_join`` without a sort where the keys are few.
 * ``page`` returns one page of an ordered result without sending everything
   before it through a single task.
 """
@@ -108,6 +108,17 @@ def shuffle_join(big: DataFrame, other: DataFrame, on: Sequence[str], how: str =
     return big.join(other.hint("merge"), list(on), how)
 
 
+def hash_join(big: DataFrame, keys: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join ``big`` to a table of keys by shuffles; ``big`` is not sorted where a partition's share of the keys is small.
+
+    Its share is measured: no more rows than a broadcast may have.  Beyond that both sides are sorted and merged.
+    """
+    parts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if keys.count() > parts * BROADCAST_ROWS:
+        return shuffle_join(big, keys, on, how)
+    return big.join(keys.hint("shuffle_hash"), list(on), how)
+
+
 def dictionary_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
     rows: int = BROADCAST_ROWS, salts: int = SALTS, fits: bool | None = None,
@@ -126,7 +137,7 @@ def dictionary_join(
     if fits_broadcast(small, rows) if fits is None else fits:
         return big.join(F.broadcast(small), on, how)
     if salts == 1:
-        return shuffle_join(big, small, on, how)
+        return hash_join(big, small, on, how)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     # The salt must not change when a lost task runs again, so it is a hash of the
     # row; maps and variants cannot be hashed and are left out of it.

@@ -16,17 +16,24 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalith.durable import materialize, scratch_root
 from catalith.layout import numbered, place_offsets, place_rows
 from catalith.operators import lexical as lx
-from catalith.operators.reconcile import table_difference
+from catalith.operators.reconcile import digest_difference, row_hash, table_difference
 
 #: Rows of the per-record table for one bucket, and buckets at most.
 BUCKET_ROWS, MAX_BUCKETS = 1_000_000, 4096
 _GROUP = ("portal_id", "concept_id", "kind")
+#: What tells source items apart; ids are given by the numbering only.
+ITEM_KEY = ("kind", "record_id", "evidence_id", "ordinal", "locator", "label", "name_en", "unit", "role")
+
+
+def item_hash() -> Column:
+    """64-bit hash of what tells a source item apart."""
+    return row_hash(*ITEM_KEY)
 
 
 class GraphStore:
@@ -103,6 +110,27 @@ class GraphStore:
             F.lit("portal_concepts").alias("table"), *_GROUP, "side", "copies")
         return pairs.unionByName(sums)
 
+    def source_differences(self, pairs: DataFrame) -> DataFrame:
+        """Items' concepts, mappings and aggregate rows that differ from ``pairs``, recomputed from the source.
+
+        ``pairs(item, record_id, portal_id, kind, concept_id)`` has the ``item_hash`` of each match and no ids, so it need not
+        be joined with the stored items: it is compared with their concepts by digests, and these with the stored mappings.
+        Aggregates of equal pairs are equal: they are counted again from the items' concepts, and from ``pairs`` where
+        those differ.
+        """
+        found = self.items.select(F.col("id").alias("item_id"), item_hash().alias("item"), "record_id", "portal_id", "kind",
+                                  F.explode("concept_ids").alias("concept_id"))
+        names = ["item", "portal_id", "kind", "concept_id"]
+        items = materialize(digest_difference(found.select(*names), pairs.select(*names)).select(
+            F.lit("items").alias("table"), *_GROUP, "side", "copies"), "item-differences")
+        names = ["item_id", "record_id", "portal_id", "kind", "concept_id"]
+        mapped = digest_difference(self.mappings.select(*names), found.select(*names)).select(
+            F.lit("mappings").alias("table"), *_GROUP, "side", "copies")
+        again = lx.concept_counts(pairs if items.limit(1).count() else found)
+        sums = table_difference(self.portal_concepts, again.select(*self.portal_concepts.columns)).select(
+            F.lit("portal_concepts").alias("table"), *_GROUP, "side", "copies")
+        return items.unionByName(mapped).unionByName(sums)
+
 
 def build(items: DataFrame, aliases: DataFrame, rules: Sequence[lx.ScopeRule] = lx.SCOPE_RULES, path: str | None = None) -> GraphStore:
     """Number, match and store ``items``; other tables of the store follow at their first use.

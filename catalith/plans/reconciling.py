@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.durable import materialize
-from catalith.layout import dictionary_join, fits_broadcast, shuffle_join
+from catalith.layout import dictionary_join, fits_broadcast
 from catalith.operators import coverage as cv
+from catalith.operators import graph_store as gs
 from catalith.operators import joins as jn
 from catalith.operators import reconcile as rc
 from catalith.operators import registry as rg
@@ -377,22 +379,39 @@ def vocabulary_relations(t: Tables):
 
 @query("q175_recompute_matches", f"""WITH {m.MATCH} SELECT count(*) AS stored, CAST(0 AS BIGINT) AS differences FROM mapped""")
 def recompute_matches(t: Tables):
-    """The stored mappings and aggregates against a recomputation by one exploded join over the source items."""
+    """The stored items' concepts, mappings and aggregates against a recomputation by one exploded join over the source items."""
     store = m.graph(t)
-    key = ["kind", "record_id", "evidence_id", "ordinal", "locator", "label", "name_en", "unit", "role"]
-    named = store.items.select(F.col("id").alias("item_id"), F.xxhash64(*key).alias("item"))
-    al = materialize(m.vocabulary(t).aliases.withColumnRenamed("kind", "ckind"), "aliases")
-    it = materialize(m.items(t).filter("not is_control").select(
-        F.xxhash64(*key).alias("item"), "record_id", "portal_id", "kind", "label", "name_en", "unit"), "candidates")
-    own, fits = ["item", "record_id", "portal_id", "kind"], fits_broadcast(al)
-    lab = it.select(*own, F.col("label").alias("own"), F.explode(F.array_compact(F.array("label", "name_en"))).alias("alias"))
-    a = dictionary_join(lab, al, ["alias"], fits=fits).filter("ckind <> 'Unit' and (kind = 'catalog_label' or ckind <> 'Topic')").filter(
-        "not (concept_id = 'dimension:small' and own = 'small' and portal_id <> 'Brand#1')").select(*own, "concept_id")
-    u = dictionary_join(it.filter("kind = 'documented_field'").withColumn("alias", F.col("unit")), al, ["alias"], fits=fits).filter(
-        "ckind = 'Unit'").select(*own, "concept_id")
-    inc = it.filter("kind = 'documented_field' and portal_id = 'Brand#2' and name_en = 'O'").select(*own, F.lit("measure:open").alias("concept_id"))
-    # Both tables have a row for every item, so neither goes through the driver.
-    again = materialize(shuffle_join(a.unionAll(u).unionAll(inc).distinct(), named, ["item"]), "again")
-    diff = store.differences(again).agg(F.lit(0).cast("long").alias("stored"), F.count(F.lit(1)).alias("differences"))
+    al = materialize(m.vocabulary(t).aliases.select("alias", "concept_id", F.col("kind").alias("ckind")).distinct(), "aliases")
+    diff = store.source_differences(_matched_again(m.items(t), al)).agg(
+        F.lit(0).cast("long").alias("stored"), F.count(F.lit(1)).alias("differences"))
     both = store.mappings.agg(F.count(F.lit(1)).alias("stored"), F.lit(0).cast("long").alias("differences")).unionByName(diff)
     return both.agg(F.sum("stored").alias("stored"), F.sum("differences").alias("differences"))
+
+
+def _matched_again(items: DataFrame, al: DataFrame) -> DataFrame:
+    """(item, record_id, portal_id, kind, concept_id) of every match by one exploded join.
+
+    A concept counts once an item: what the second name or the rule finds is left out where a name before it found the same,
+    so items are not shuffled to be made distinct.
+    """
+    field, label, other = F.col("kind") == "documented_field", F.col("label"), F.col("name_en")
+
+    def place(by: str, alias: Column, given: Column) -> Column:
+        return F.when(given & alias.isNotNull(), F.struct(F.lit(by).alias("by"), alias.alias("alias")))
+
+    own = ["item", "record_id", "portal_id", "kind"]
+    it = items.filter("not is_control").withColumn("item", gs.item_hash()).select(*own, "label", "name_en", F.inline(F.array_compact(F.array(
+        place("label", label, F.lit(True)), place("name_en", other, ~other.eqNullSafe(label)), place("unit", F.col("unit"), field),
+        place("rule", F.lit("measure:open"), field & (F.col("portal_id") == "Brand#2") & (other == "O"))))))
+    named, fits = al.filter("ckind <> 'Unit'"), fits_broadcast(al)
+    rule = al.sparkSession.range(1).select(F.lit("measure:open").alias("alias"), F.lit("measure:open").alias("concept_id"), F.lit("Measure").alias("ckind"))
+    book = (named.crossJoin(al.sparkSession.createDataFrame([("label",), ("name_en",)], "by string"))
+            .unionByName(al.filter("ckind = 'Unit'").withColumn("by", F.lit("unit"))).unionByName(rule.withColumn("by", F.lit("rule"))))
+    hits = dictionary_join(it, book, ["by", "alias"], fits=fits).filter("kind = 'catalog_label' or ckind <> 'Topic'").filter(
+        "not (concept_id = 'dimension:small' and label = 'small' and portal_id <> 'Brand#1')").drop("alias", "ckind")
+    for name in ("label", "name_en"):
+        found = named.select(F.col("alias").alias(name), "concept_id").distinct().withColumn(f"_{name}", F.lit(True))
+        hits = dictionary_join(hits, found, [name, "concept_id"], "left", fits=fits)
+    first = F.when(F.col("by") == "name_en", F.col("_label").isNull()).when(
+        F.col("by") == "rule", F.col("_label").isNull() & F.col("_name_en").isNull()).otherwise(True)
+    return hits.filter(first).select(*own, "concept_id")
