@@ -225,7 +225,11 @@ def _escape(c: Column) -> Column:
 
 
 def _is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
+
+
+def _unescape(c: Column) -> Column:
+    return F.replace(F.replace(c, F.lit("~1"), F.lit("/")), F.lit("~0"), F.lit("~"))
 
 
 def document_nodes(docs: DataFrame) -> DataFrame:
@@ -233,17 +237,32 @@ def document_nodes(docs: DataFrame) -> DataFrame:
 
     Only pointers that occur are resolved, each member by member to any depth;
     arrays are not stepped into.  Pointers without a node give no row.
+    Pointers of one parent share the steps to it, so its members are copied once.
     """
-    # The document's text is only searched for pointers; each is read back as JSON.
-    found = F.regexp_extract_all(F.to_json("doc"), F.lit(r'"\$ref":("#/(?:[^"\\]++|\\.)*+")'), F.lit(1))
-    pointers = F.array_distinct(F.transform(found, lambda t: F.from_json(
-        F.concat(F.lit('{"p":'), t, F.lit("}")), "p string")["p"]))
-    names = F.transform(F.split(F.substr(F.col("pointer"), F.lit(3)), "/"), lambda n: F.replace(
-        F.replace(n, F.lit("~1"), F.lit("/")), F.lit("~0"), F.lit("~")))
-    node = F.aggregate(names, F.col("doc"), lambda at, name: F.try_element_at(
-        F.try_variant_get(at, "$", "map<string,variant>"), name))
-    return (docs.select("path", "doc", F.explode(pointers).alias("pointer"))
-            .select("path", "pointer", node.alias("node")).filter("node is not null"))
+    # The document's text is only searched for pointers; those with escapes are read back as JSON.  A kept text is searched
+    # as it came, unless escapes may spell a ``$ref`` or the start of a pointer.
+    text = F.to_json("doc")
+    if "_text" in docs.columns:
+        text = F.when(F.col("_text").rlike(r"\\[u/]"), text).otherwise(F.col("_text"))
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r'"\$ref"[ \t\r\n]*:[ \t\r\n]*("#/(?:[^"\\]++|\\.)*+")'), F.lit(1)))
+    texts = F.array_distinct(F.transform(found, lambda t: F.when(F.contains(t, F.lit("\\")), F.from_json(
+        F.concat(F.lit('{"p":'), t, F.lit("}")), "p string")["p"]).otherwise(F.substr(t, F.lit(2), F.length(t) - 2))))
+    last = F.transform(texts, lambda p: F.struct(p.alias("pointer"), F.substring_index(p, "/", -1).alias("last")))
+    pointers = F.transform(last, lambda p: F.struct(
+        p["pointer"].alias("pointer"), F.substr(p["pointer"], F.lit(1), F.length(p["pointer"]) - F.length(p["last"]) - 1).alias("parent"),
+        _unescape(p["last"]).alias("name")))
+
+    def members(p: Column) -> Column:
+        return F.try_variant_get(p, "$", "map<string,variant>")
+
+    names = F.slice(F.split("parent", "/"), F.lit(2), F.size(F.split("parent", "/")))
+    at = F.aggregate(names, F.col("doc"), lambda at, name: F.try_element_at(members(at), _unescape(name)))
+    # Each explode ends a projection: what is found for a parent is not found again for its pointers.
+    by_doc = docs.select("path", "doc", F.explode(F.array(pointers)).alias("pointers"))
+    by_parent = by_doc.select("path", "doc", "pointers", F.explode(F.array_distinct(F.col("pointers.parent"))).alias("parent"))
+    inside = by_parent.select("path", "parent", "pointers", F.explode(F.array(members(at))).alias("members"))
+    return inside.select("path", F.inline(F.transform(F.filter("pointers", lambda p: p["parent"] == F.col("parent")), lambda p: F.struct(
+        p["pointer"].alias("pointer"), F.try_element_at("members", p["name"]).alias("node"))))).filter("node is not null")
 
 
 def openapi_operations(docs: DataFrame) -> DataFrame:
@@ -310,7 +329,7 @@ def response_roots(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, li
     """(nodes by pointer, operations, root schemas of the responses, issues of lost responses)."""
     refs = materialize(document_nodes(docs), "refs").select(
         "path", F.col("pointer").alias("_ref"), F.col("node").alias("_target"))
-    ops = openapi_operations(docs)
+    ops = materialize(openapi_operations(docs), "operations")
     resp = ops.select("path", "operation", "method", "route",
                       F.inline(_members(json_value("node", "$.responses", "variant")))).select(
         "path", "operation", F.col("key").alias("status"), F.col("value").alias("node"),
@@ -381,6 +400,31 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+COMPOSITES = ("allOf", "oneOf", "anyOf")
+
+
+def schema_parts(s: Column) -> list[Column]:
+    """What the rules look at in the schema ``s``, as columns: each part is taken out of the schema once."""
+    return [_is_object(s).alias("_object"), _members(json_value(s, "$.properties", "variant")).alias("_props"),
+            json_value(s, "$.items", "variant").alias("_items"), json_value(s, "$.additionalProperties", "variant").alias("_extra"),
+            json_value(s, "$.type").alias("_type"), *[json_value(s, f"$.{word}", "array<variant>").alias(f"_{word}") for word in COMPOSITES]]
+
+
+def has_dynamic_properties() -> Column:
+    empty = F.to_json("_extra").isin("null", "false", "0", '""', "[]", "{}")
+    return F.col("_extra").isNotNull() & ~F.coalesce(empty, F.lit(False))
+
+
+def has_item_fields() -> Column:
+    """An array whose items have a shape of their own."""
+    items = F.col("_items")
+    deep = (F.col("_type") == "array") & _is_object(items) & (
+        json_value(items, "$['$ref']").isNotNull() | (F.size(_members(json_value(items, "$.properties", "variant"))) > 0)
+        | (json_value(items, "$.type") == "array") | json_value(items, "$.allOf", "variant").isNotNull()
+        | json_value(items, "$.oneOf", "variant").isNotNull() | json_value(items, "$.anyOf", "variant").isNotNull())
+    return F.coalesce(deep, F.lit(False))
+
+
 def schema_step(nodes: DataFrame, refs: DataFrame) -> DataFrame:
     """One unfolding step of every open schema node; outcome is open, field, issue or nameless.
 
@@ -389,7 +433,7 @@ def schema_step(nodes: DataFrame, refs: DataFrame) -> DataFrame:
     s = F.col("schema")
     ref = json_value(s, "$['$ref']")
     n = nodes.withColumn("_ref", ref).join(refs, ["path", "_ref"], "left")
-    here = n.withColumn("_kind", F.when(F.col("_ref").isNotNull(), F.lit("ref")).otherwise(F.lit("node")))
+    here = n.select("*", F.when(F.col("_ref").isNotNull(), F.lit("ref")).otherwise(F.lit("node")).alias("_kind"), *schema_parts(s))
 
     def row(outcome: str, schema: Column, locator: Column, names: Column, chain: Column, variant: Column,
             reason: Column | None = None) -> Column:
@@ -415,32 +459,24 @@ def schema_step(nodes: DataFrame, refs: DataFrame) -> DataFrame:
 
     composite = none
     has_composite = F.lit(False)
-    for word in ("allOf", "oneOf", "anyOf"):
-        parts = json_value(s, f"$.{word}", "array<variant>")
+    for word in COMPOSITES:
+        parts = F.col(f"_{word}")
         has_composite = has_composite | parts.isNotNull()
         composite = F.concat(composite, F.coalesce(F.transform(parts, part_of(word)), none))
-    props = _members(json_value(s, "$.properties", "variant"))
-    extra = json_value(s, "$.additionalProperties", "variant")
-    empty = F.to_json(extra).isin("null", "false", "0", '""', "[]", "{}")
-    dynamic = extra.isNotNull() & ~F.coalesce(empty, F.lit(False))
+    props, dynamic = F.col("_props"), has_dynamic_properties()
     by_props = F.concat(
         F.when(dynamic, F.array(issue(F.lit("additional_dynamic_properties_not_enumerated")))).otherwise(none),
         F.transform(props, lambda m: row(
             "open", m["value"], F.concat(loc, F.lit("/properties/"), _escape(m["key"])),
             F.array_append(names, m["key"]), chain, var)))
-    items = json_value(s, "$.items", "variant")
-    deep = (json_value(s, "$.type") == "array") & _is_object(items) & (
-        json_value(items, "$['$ref']").isNotNull() | (F.size(_members(json_value(items, "$.properties", "variant"))) > 0)
-        | (json_value(items, "$.type") == "array") | json_value(items, "$.allOf", "variant").isNotNull()
-        | json_value(items, "$.oneOf", "variant").isNotNull() | json_value(items, "$.anyOf", "variant").isNotNull())
-    by_items = F.array(row("open", items, F.concat(loc, F.lit("/items")), F.array_append(names, F.lit("[]")), chain, var))
-    bare = F.coalesce(json_value(s, "$.type") == "object", F.lit(False)) | dynamic
+    by_items = F.array(row("open", F.col("_items"), F.concat(loc, F.lit("/items")), F.array_append(names, F.lit("[]")), chain, var))
+    bare = F.coalesce(F.col("_type") == "object", F.lit(False)) | dynamic
     named = F.size(F.filter(names, lambda x: x != "[]")) > 0
     leaf = (F.when(has_composite, none).when(bare, F.array(issue(F.lit("object_without_fixed_properties"))))
             .when(F.size(names) == 0, F.array(issue(F.lit("scalar_response_without_named_field"))))
             .when(named, F.array(row("field", s, loc, names, chain, var)))
             .otherwise(F.array(row("nameless", s, loc, names, chain, var))))
-    by_node = F.when(~_is_object(s), F.array(issue(F.lit("schema_not_object")))).otherwise(F.concat(
-        composite, F.when(F.size(props) > 0, by_props).when(F.coalesce(deep, F.lit(False)), by_items).otherwise(leaf)))
+    by_node = F.when(~F.col("_object"), F.array(issue(F.lit("schema_not_object")))).otherwise(F.concat(
+        composite, F.when(F.size(props) > 0, by_props).when(has_item_fields(), by_items).otherwise(leaf)))
     return here.select("path", "operation", "status", "media", F.inline(
         F.when(F.col("_kind") == "ref", by_ref).otherwise(by_node)))

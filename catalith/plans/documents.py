@@ -174,7 +174,7 @@ def _varied_api_docs(t: Tables):
     doc = F.concat(F.lit('{"openapi":"3.0","paths":{"/p/'), key, F.lit('":{"parameters":[{"name":"route"}],"post":{"operationId":"'), F.col("p_name"),
                    F.lit('","parameters":['), given, F.lit("],"), body, F.lit('"responses":{"200":{"schema":{"$ref":"#/components/schemas/S0"}}}}}},"components":{"schemas":{'),
                    links, last, F.lit("}}}"))
-    return documents_from_text(t.spread("part").select(key.alias("p"), doc.alias("j")), "p", "j")
+    return documents_from_text(t.spread("part").select(key.alias("p"), doc.alias("j")), "p", "j", keep_text=True)
 
 
 @query("q188_openapi_counts", """SELECT CAST(p_partkey AS VARCHAR) AS path, 'openapi:POST:/p/' || p_partkey AS operation, p_name AS name,

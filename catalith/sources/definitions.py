@@ -14,10 +14,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return documents_from_text(raw, "path", "value")
 
 
-def documents_from_text(df: DataFrame, key: str, text: str) -> DataFrame:
+def documents_from_text(df: DataFrame, key: str, text: str, keep_text: bool = False) -> DataFrame:
+    """(path, doc, error) of JSON texts; with ``keep_text`` also ``_text``, so that a search need not write ``doc`` out again."""
     parsed = F.try_parse_json(F.col(text))
     return df.select(F.col(key).alias("path"), parsed.alias("doc"),
-                     F.when(parsed.isNull(), F.lit("invalid_json")).alias("error"))
+                     F.when(parsed.isNull(), F.lit("invalid_json")).alias("error"), *[F.col(text).alias("_text")] * keep_text)
 
 
 def json_value(doc: Column | str, path: str, kind: str = "string") -> Column:
